@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, simhash
-from .common import read_table
+from . import langid, packing, quality, simhash
+from .common import id_bucket, read_table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,12 +14,35 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """Fitted on labels whose id's crc32 modulo 4 isn't 2."""
+    seen = id_bucket(F.col("doc_id"), 4) != 2
+    return quality.train(read_table(spark, sf_dir, "documents").where(seen), read_table(spark, sf_dir, "labels").where(seen))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, op4_quality_model(spark, sf_dir), keep=["doc_id"])
+    return scored.withColumn("held_out", id_bucket(F.col("doc_id"), 4) == 2)
+
+
+def op8_language_model(documents: DataFrame) -> langid.Model:
+    """Learned from documents whose id's crc32 modulo 3 isn't 1."""
+    return langid.train(documents.where(id_bucket(F.col("doc_id"), 3) != 1))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), op8_language_model(docs), keep=["doc_id"], with_spans=False)
+    return found.withColumn("held_out", id_bucket(F.col("doc_id"), 3) == 1)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash, "op6_packing": op6_packing}
+    return {"op1_simhash": op1_simhash, "op4_quality": op4_quality, "op6_packing": op6_packing, "op8_language": op8_language}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,10 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import packing, simhash
+from barloom.llm import langid, packing, quality, queries, simhash
 from barloom.llm.common import materialize, read_table
 
+#: Texts whose best language has a smaller share of their letters are rejected.
+MIN_LANGUAGE_SHARE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language stay: not ``und``, and a share of letters that is high enough.
+
+    The model learns from all ``documents``, as the query of the operator does.
+    """
+    model = queries.op8_language_model(read_table(spark, sf_dir, "documents"))
+    found = langid.identify(docs, model, with_spans=False)
+    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SHARE))
+    return kept.select(docs.columns)
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be of quality stay; without any label all do."""
+    model = queries.op4_quality_model(spark, sf_dir)
+    if not len(model.labels):
+        return docs
+    return quality.classify(docs, model).where("predicted = 1").select(docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest id."""
@@ -18,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", pack)]
+STAGES = [("language", language), ("quality", quality_filter), ("near_dedup", near_dedup), ("packing", pack)]
 
 #: No stage is expressible in SQL; tests compare each with a brute-force version.
 ORACLE_SQL = None
