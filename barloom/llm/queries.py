@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash
+from . import langid, packing, quality, simhash, spotsigs, tokencounts, topk
 from .common import id_bucket, read_table
 
 
@@ -14,6 +14,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """Fitted on labels whose id's crc32 modulo 4 isn't 2."""
     seen = id_bucket(F.col("doc_id"), 4) != 2
@@ -41,9 +45,33 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.context_limits(tokencounts.length_histogram(read_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash, "op4_quality": op4_quality, "op6_packing": op6_packing, "op8_language": op8_language}
+    return {f.__name__: f for f in (op1_simhash, op3_spotsigs, op4_quality, op6_packing, op7_topk, op8_language, op9_token_counts)}
+
+
+TOPK_SQL = """
+WITH x AS (
+    SELECT vec_id, list_transform(embedding, c -> CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+), p AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) AS BIGINT) AS score
+    FROM x a JOIN x b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk": TOPK_SQL}
