@@ -1,7 +1,9 @@
 """SpotSigs document fingerprints with DataFrame functions only.
 
 A spot is a common word (anchor); its signature is the anchor and the first
-content words that follow it, up to the next anchor.  A text's fingerprint is
+content words that follow it, up to the next anchor; a run of content words
+without an anchor is broken after every few words, and each part starts a chain
+of its own.  A text's fingerprint is
 its set of hashed signatures, written as sorted hexadecimal numbers, so two
 fingerprints can be compared by themselves.  Sets are partitioned by length: at
 a likeness of ``least`` or more only sets of the same or the neighbouring
@@ -24,28 +26,32 @@ ANCHORS = (
     "el los las y no por con del para se"
 ).split()
 CHAIN = 2
+#: Words of a run after which a chain starts without an anchor.
+RUN = 5
+#: Texts of at most so many words have each word as a further signature.
+SHORT = 16
 LEAST = 0.8
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN, anchors: list[str] | None = None) -> DataFrame:
     """``df`` with ``out``: the sorted distinct signatures (int) of column ``text``.
 
-    Words are lower-cased runs of letters and digits.  The words before the
-    first anchor count as a chain of their own.  A text without anchors has each
-    of its words as a signature; a text without words, null as the empty text,
+    Words are lower-cased runs of letters and digits; the words before the
+    first anchor are a run too.  A text without words, null as the empty text,
     has the hash of the text.  So the set is never empty.
     """
     words = "|".join(sorted(set(anchors or ANCHORS)))
     norm, segs, sigs = f"__{out}_norm", f"__{out}_segs", f"__{out}_sigs"
     df = df.withColumn(norm, F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+", " ")), F.lit(" ")))
-    df = df.withColumn(segs, F.split(F.regexp_replace(F.col(norm), f" (?:{words})(?= )", "\n$0"), "\n"))
+    marked = F.regexp_replace(F.col(norm), f" (?:{words})(?= )", "\n$0")
+    marked = F.regexp_replace(marked, f"((?: [^ \n]+){{{RUN}}})(?= [^ \n])", "$1\n")
+    df = df.withColumn(segs, F.split(marked, "\n"))
     found = F.filter(F.transform(F.col(segs), lambda s: F.trim(F.substring_index(F.ltrim(s), " ", chain + 1))), lambda s: F.instr(s, " ") > 0)
-    df = df.withColumn(sigs, F.when(F.size(segs) > 1, found))
-    every = F.split(F.trim(F.col(norm)), " ")
+    df = df.withColumn(sigs, found).withColumn(segs, F.split(F.trim(F.substring_index(F.col(norm), " ", SHORT + 2)), " "))
     chosen = (
         F.when(F.trim(F.col(norm)) == "", F.array(F.coalesce(F.col(text), F.lit(""))))
-        .when(F.coalesce(F.size(sigs), F.lit(0)) > 0, F.col(sigs))
-        .otherwise(every)
+        .when(F.trim(F.substring_index(F.col(norm), " ", SHORT + 2)) == F.trim(F.col(norm)), F.concat(F.col(sigs), F.col(segs)))
+        .otherwise(F.col(sigs))
     )
     df = df.withColumn(sigs, chosen)
     return df.withColumn(out, F.array_sort(F.array_distinct(F.transform(F.col(sigs), lambda s: F.hash(s))))).drop(norm, segs, sigs)
