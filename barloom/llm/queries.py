@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import interpolated, langid, packing, quality, simhash, spotsigs, tokencounts, topk
+from . import interpolated, langid, packing, quality, segmentation, simhash, spotsigs, tokencounts, topk
 from .common import id_bucket, read_table
 
 
@@ -14,6 +14,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op2_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four sampled segmentations of every turn of ``conversations``; the digest tells whether each decodes to its text."""
+    turns = read_table(spark, sf_dir, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    found = segmentation.sample_segmentations(turns, ["conv_id", "turn", "text"])
+    return found.select(
+        "conv_id", "turn", "rank", F.size("ids").cast("long").alias("n_ids"),
+        F.md5(F.concat_ws(",", F.transform("ids", lambda x: x.cast("string")))).alias("ids_md5"),
+        "log_prob", "perturbed", "log_inclusion", (F.col("decoded") == F.col("text")).alias("decodes"),
+    )
+
+
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -61,7 +72,7 @@ def op10_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op3_spotsigs, op4_quality, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated)}
+    return {f.__name__: f for f in (op1_simhash, op2_segmentation, op3_spotsigs, op4_quality, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated)}
 
 
 TOPK_SQL = """
