@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch_texts, materialize
-from .wordbpe import END_ID, WordEncoder
+from .wordbpe import END_ID, worker_encoder
 
 CAPACITY = 4096
 BUCKETS = 256
@@ -159,12 +159,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, end = WordEncoder(tokenizer_path), int(end_id).to_bytes(4, "little")
+        encoder, end = worker_encoder(tokenizer_path), int(end_id).to_bytes(4, "little")
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             at, starts, lengths, crcs, totals = [], [], [], [], []
-            for i, text in enumerate(batch_texts(batch)):
-                ids = memoryview(encoder.ids(text) + end)
+            for i, own in enumerate(encoder.ids_of(batch_texts(batch))):
+                ids = memoryview(own + end)
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
                     stop = min(n, start + capacity)
@@ -237,7 +237,7 @@ def _cut_checksums(docs: DataFrame, cut: DataFrame, tokenizer_path: str | None,
     both = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text", *keys)
 
     def run(batches):
-        encoder, end = WordEncoder(tokenizer_path), int(end_id).to_bytes(4, "little")
+        encoder, end = worker_encoder(tokenizer_path), int(end_id).to_bytes(4, "little")
         for batch in batches:
             ps, pl, pc, ss, ls = (batch.column(n).to_pylist() for n in keys)
             at, crcs, last, ids = [], [], None, b""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch_texts
-from .wordbpe import WordEncoder
+from .wordbpe import worker_encoder
 
 #: Lengths that share a range in the two-level sums.
 RANGE = 1024
@@ -18,9 +18,9 @@ def encoded_lengths(docs: DataFrame, tokenizer_path: str | None = None, added: i
     """(doc_id, n_tokens) of each whole text; ``added`` tokens go to each."""
 
     def run(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         for batch in batches:
-            n = np.array([len(encoder.ids(t)) // 4 + added for t in batch_texts(batch)], np.int64)
+            n = np.array([len(ids) // 4 + added for ids in encoder.ids_of(batch_texts(batch))], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], ["doc_id", "n_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
