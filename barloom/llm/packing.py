@@ -268,7 +268,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None =
     histogram = {r[0]: r[1] for r in found.groupBy("length").count().collect()}  # at most ``capacity`` rows
     placed = materialize(place(ranked(found), plan_windows(histogram, capacity)), "placed")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    whole, cut = placed.where("length = piece_length").select(columns), placed.where("length < piece_length")
+    whole, cut = placed.where("length = piece_length").select(columns), materialize(placed.where("length < piece_length"), "cut")
     parts = _cut_checksums(docs, cut, tokenizer_path, end_id)
     keys = ["piece_start", "piece_length", "ids_crc32", "start", "length"]
     on = F.col("doc_id").eqNullSafe(F.col("id"))

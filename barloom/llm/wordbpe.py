@@ -8,6 +8,7 @@ cache stays with a Python worker from task to task.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 from itertools import islice
@@ -19,6 +20,8 @@ CACHE_CHUNKS = 600_000
 KEPT_CHUNKS = 200_000
 #: Characters of text whose chunks are looked up at once.
 BLOCK_CHARS = 2_000_000
+#: Chunks whose case folding and splitting are plain: Latin letters, then marks that don't start a contraction.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\s\w']*)")
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 
@@ -39,14 +42,36 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
         self.cache_chunks, self.kept_chunks = cache_chunks, kept_chunks
         self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}  # ids of letter runs and of mark runs
+        # the byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = iter(range(256, 512))
+        self.letter = [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+    def _run(self, run: str) -> bytes:
+        """Ids of one run of letters or marks, already folded."""
+        got = self.runs.get(run)
+        if got is None:
+            word = run if run.isascii() else "".join(self.letter[b] for b in run.encode("utf-8", "surrogatepass"))
+            got = self.runs[run] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return got
 
     def _learn(self, chunks: set[str]) -> None:
         missing = list(chunks.difference(self.known))
         if len(self.known) + len(missing) > self.cache_chunks:
             self.known = dict(islice(self.known.items(), self.kept_chunks))
             missing = list(chunks.difference(self.known))
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
+        if len(self.runs) > self.cache_chunks:
+            self.runs = dict(islice(self.runs.items(), self.kept_chunks))
+        special = []
+        for chunk in missing:
+            plain = _PLAIN.fullmatch(chunk)
+            if plain and "<" not in chunk and plain[2].isascii():
+                self.known[chunk] = self._run(plain[1].lower()) + self._run(plain[2])
+            else:
+                special.append(chunk)
+        for at in range(0, len(special), 4096):
+            part = special[at : at + 4096]
             for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[chunk] = array("I", got.ids).tobytes()
 
