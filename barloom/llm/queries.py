@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import interpolated, langid, packing, quality, segmentation, simhash, spotsigs, tokencounts, topk
+from . import interpolated, langid, licenses, packing, quality, segmentation, simhash, spotsigs, tokencounts, topk
 from .common import id_bucket, read_table
 
 
@@ -52,6 +52,12 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", id_bucket(F.col("doc_id"), 3) == 1)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by host and path; a page titled by a notice governs its directory."""
+    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), licenses.url_path(F.col("url")).alias("path"), F.col("html").alias("text"))
+    return licenses.license_scan(pages, markup=True, headed_governs=True).withColumnRenamed("key", "page_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -72,7 +78,7 @@ def op10_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_segmentation, op3_spotsigs, op4_quality, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated)}
+    return {f.__name__: f for f in (op1_simhash, op2_segmentation, op3_spotsigs, op4_quality, op5_licenses, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated)}
 
 
 TOPK_SQL = """
