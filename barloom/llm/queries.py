@@ -83,12 +83,12 @@ def queries() -> dict:
 
 TOPK_SQL = """
 WITH x AS (
-    SELECT vec_id, list_transform(embedding, c -> CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS q
+    SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), p AS (
-    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) AS BIGINT) AS score
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
     FROM x a JOIN x b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
 ), r AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
