@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+PLANS = ("feature_queries",)
+
+
+def _plans():
+    return [import_module(f"barloom.plans.{name}") for name in PLANS]
+
 
 def flagship(spark, sf_dir):
-    return queries()["bars"](spark, sf_dir)
+    return queries()["ti_features"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return {k: f for plan in _plans() for k, f in plan.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for plan in _plans() for k, s in plan.SQL.items()}
