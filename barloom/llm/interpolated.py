@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .simhash import _LOWER
 
-BATCH_TOKENS = 3_000_000
+BATCH_TOKENS = 1_000_000
 #: Tokens of the input for each range of key hashes.
 RANGE_TOKENS = 1_500_000
 CONTEXT_BUCKETS = 32
@@ -122,8 +122,13 @@ class Batch:
         context[1:] = self.ids[:-1]
         context[self.starts] = self.ids[-1] if len(self.ids) else 0  # every document ends with the end token
         h, w = self.hashes[context], self.hashes[self.ids]
-        mixed = (h * _A) ^ (((w * _B) << np.uint64(31)) | ((w * _B) >> np.uint64(33)))
-        pairs, of = np.unique((mixed * _A) | np.uint64(1), return_inverse=True)
+        h *= _A
+        w *= _B
+        h ^= (w << np.uint64(31)) | (w >> np.uint64(33))
+        h *= _A
+        h |= np.uint64(1)
+        pairs, of = np.unique(h, return_inverse=True)
+        del h, w
         keys = np.concatenate([self.hashes, pairs])
         order = np.argsort(keys, kind="stable")
         place = np.empty_like(order)
@@ -261,8 +266,11 @@ def score(docs: DataFrame, train: Column, held: Column, batch_tokens: int = BATC
             c = _gather(right, "counts")
             own, before = c[token], c[context]
             p2, p1 = _estimates(own, before, c[pair], train_tokens)
-            a = weights[_bucket(before)]
-            model = np.log10(a[:, 0] * p2 + a[:, 1] * p1 + a[:, 2] / (words + 1))
+            bucket = _bucket(before)
+            p2 *= weights[bucket, 0]
+            p1 *= weights[bucket, 1]
+            model = np.log10(p2 + p1 + weights[bucket, 2] / (words + 1))
+            del p2, p1, bucket, before
             base = np.log10((own + 0.1) / (train_tokens + 0.1 * (words + 1)))
             if not train_tokens:
                 model = np.zeros_like(base)
