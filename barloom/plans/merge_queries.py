@@ -156,8 +156,8 @@ def affected_ranges(spark, sf_dir):
 
 
 def _readiness(spark, sf_dir):
-    rows = coverage.listing_coverage(adapters.listings(spark, sf_dir), adapters.bars(spark, sf_dir).where("listing % 9 <> 4 AND NOT (listing % 5 = 1 AND trading_date >= '1998-07-01')"))
-    return planning.readiness(rows, F.lit("1998-08-02").cast("date"), 520)
+    rows = coverage.listing_coverage(adapters.listings(spark, sf_dir), adapters.bars(spark, sf_dir).where("listing % 9 <> 4 AND NOT (listing % 5 = 1 AND trading_date >= '2001-07-01')"))
+    return planning.readiness(rows, F.lit("2001-08-02").cast("date"), 520)
 
 
 def source_readiness(spark, sf_dir):
@@ -275,8 +275,8 @@ flags AS (SELECT n.listing, n.trading_date, p.version IS NULL AND (payload_last
   p.version IS NOT NULL AND (n.open, n.high, n.low, n.close, n.volume) IS DISTINCT FROM (p.open, p.high, p.low, p.close, p.volume) AS source_drift, coalesce(p.version IS NOT NULL AND history_count <> n, false) AS history_drift, coalesce(version <> 'v1', false) AS version_drift
   FROM n LEFT JOIN payload p USING (listing, trading_date) LEFT JOIN tail USING (listing)),
 state AS (SELECT listing, count(*) AS source_bars, max(trading_date) AS source_last, """ + ", ".join(f"count(*) FILTER ({r}) AS {r}, min(trading_date) FILTER ({r}) AS {r}_from" for r in planning.REASONS) + " FROM flags GROUP BY 1)"
-_READY = f"""WITH {BARS_SQL}, cov AS (SELECT l.listing, count(trading_date) AS bars, max(trading_date) AS last_date FROM listings l LEFT JOIN raw_bars b ON b.listing = l.listing AND b.listing % 9 <> 4 AND NOT (b.listing % 5 = 1 AND trading_date >= DATE '1998-07-01') GROUP BY 1),
-ready0 AS (SELECT listing, concat_ws(',', CASE WHEN bars = 0 THEN 'NO_BARS' END, CASE WHEN bars > 0 AND bars < 520 THEN 'SHORT_HISTORY' END, CASE WHEN last_date < DATE '1998-07-26' THEN 'STALE' END, CASE WHEN last_date > DATE '1998-08-02' THEN 'FUTURE' END) AS reasons FROM cov),
+_READY = f"""WITH {BARS_SQL}, cov AS (SELECT l.listing, count(trading_date) AS bars, max(trading_date) AS last_date FROM listings l LEFT JOIN raw_bars b ON b.listing = l.listing AND b.listing % 9 <> 4 AND NOT (b.listing % 5 = 1 AND trading_date >= DATE '2001-07-01') GROUP BY 1),
+ready0 AS (SELECT listing, concat_ws(',', CASE WHEN bars = 0 THEN 'NO_BARS' END, CASE WHEN bars > 0 AND bars < 520 THEN 'SHORT_HISTORY' END, CASE WHEN last_date < DATE '2001-07-26' THEN 'STALE' END, CASE WHEN last_date > DATE '2001-08-02' THEN 'FUTURE' END) AS reasons FROM cov),
 ready AS (SELECT *, reasons = '' AS ready FROM ready0)"""
 _PUB = f"""{_BASE}, {_SMA}, member AS (SELECT listing, CASE WHEN listing % 3 = 0 THEN 'B' ELSE 'A' END AS slot FROM listings WHERE listing <> 7),
 pub AS (SELECT listing, trading_date, slot, sma_20, close FROM (SELECT listing, trading_date, 'A' AS slot, sma_20, close FROM sma WHERE listing % 4 <> 1 UNION ALL SELECT listing, trading_date, 'B', sma_20, close + 1 FROM sma WHERE listing % 4 <> 2) JOIN member USING (listing, slot)),
