@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .indicators import SERIES
+from .indicators import series
 
 
 def listing_coverage(listings: DataFrame, bars: DataFrame, start=None, end=None) -> DataFrame:
@@ -30,7 +30,7 @@ def market_health(coverage: DataFrame, active: Column) -> DataFrame:
 
 def weekday_gaps(bars: DataFrame) -> DataFrame:
     """Every missing Monday to Friday between consecutive bars of a listing."""
-    gaps = bars.select("listing", "trading_date", F.lag("trading_date", 1).over(SERIES).alias("before")).where(F.datediff("trading_date", "before") > 1)
+    gaps = bars.select("listing", "trading_date", F.lag("trading_date", 1).over(series()).alias("before")).where(F.datediff("trading_date", "before") > 1)
     days = gaps.select("listing", F.explode(F.sequence(F.date_add("before", 1), F.date_sub("trading_date", 1))).alias("missing_date"))
     return days.where(F.weekday("missing_date") < 5)
 

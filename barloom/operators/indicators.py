@@ -13,23 +13,26 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import complete, distance, ratio
 
-SERIES = Window.partitionBy("listing").orderBy("trading_date")
+def series():
+    """Each listing in date order."""
+    return Window.partitionBy("listing").orderBy("trading_date")
+
 RETURN_LAGS = (1, 2, 3, 5, 10, 20, 63, 126, 252)
 
 
 def back(n: int):
     """The last ``n`` observations, the current one included."""
-    return SERIES.rowsBetween(-(n - 1), 0)
+    return series().rowsBetween(-(n - 1), 0)
 
 
 def returns(bars: DataFrame) -> DataFrame:
-    return bars.withColumns({f"return_{n}d_pct": distance(F.col("close"), F.lag("close", n).over(SERIES)) for n in RETURN_LAGS})
+    return bars.withColumns({f"return_{n}d_pct": distance(F.col("close"), F.lag("close", n).over(series())) for n in RETURN_LAGS})
 
 
 def bar_structure(bars: DataFrame) -> DataFrame:
     h, low, c, o = (F.col(x) for x in ("high", "low", "close", "open"))
     return bars.withColumns({
-        "gap_1d_pct": distance(o, F.lag("close", 1).over(SERIES)),
+        "gap_1d_pct": distance(o, F.lag("close", 1).over(series())),
         "intraday_return_1d_pct": distance(c, o),
         "daily_range_pct": ratio(h - low, F.abs(c)),
         "close_location_1d": ratio(c - low, h - low),
@@ -39,10 +42,10 @@ def bar_structure(bars: DataFrame) -> DataFrame:
 
 def streaks(bars: DataFrame) -> DataFrame:
     """Lengths of the runs of strictly rising and falling closes; an equal close ends both."""
-    step = F.coalesce(F.signum(F.col("close") - F.lag("close", 1).over(SERIES)), F.lit(0.0))
+    step = F.coalesce(F.signum(F.col("close") - F.lag("close", 1).over(series())), F.lit(0.0))
     marked = bars.withColumn("__step", step)
-    marked = marked.withColumn("__new", F.when(F.col("__step") == F.lag("__step", 1).over(SERIES), 0).otherwise(1))
-    marked = marked.withColumn("__run", F.sum("__new").over(SERIES.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = marked.withColumn("__new", F.when(F.col("__step") == F.lag("__step", 1).over(series()), 0).otherwise(1))
+    marked = marked.withColumn("__run", F.sum("__new").over(series().rowsBetween(Window.unboundedPreceding, 0)))
     length = F.row_number().over(Window.partitionBy("listing", "__run").orderBy("trading_date"))
     return marked.withColumns({
         "consecutive_up_days": F.when(F.col("__step") > 0, length).otherwise(0),
@@ -57,7 +60,7 @@ def sma(bars: DataFrame, windows=(20, 50, 200)) -> DataFrame:
 def moving_average_trends(bars: DataFrame) -> DataFrame:
     """From sma_* and ema_* columns."""
     c = F.col("close")
-    out = {f"sma_{n}_change_20d_pct": distance(F.col(f"sma_{n}"), F.lag(f"sma_{n}", 20).over(SERIES)) for n in (50, 200)}
+    out = {f"sma_{n}_change_20d_pct": distance(F.col(f"sma_{n}"), F.lag(f"sma_{n}", 20).over(series())) for n in (50, 200)}
     out |= {f"pct_sma_{n}": distance(c, F.col(f"sma_{n}")) for n in (20, 50, 200)}
     out |= {f"pct_sma_{a}_vs_{b}": distance(F.col(f"sma_{a}"), F.col(f"sma_{b}")) for a, b in ((20, 50), (20, 200), (50, 200))}
     return bars.withColumns(out)
@@ -78,7 +81,7 @@ def volatility(bars: DataFrame) -> DataFrame:
 
 def zscores(bars: DataFrame) -> DataFrame:
     """From return_1d_pct and return_3d_pct: against the 20 returns before the current one."""
-    prior, out = SERIES.rowsBetween(-20, -1), {}
+    prior, out = series().rowsBetween(-20, -1), {}
     for k in (1, 3):
         r = F.col(f"return_{k}d_pct")
         z = ratio(r - F.avg(r).over(prior), F.stddev_samp(r).over(prior))

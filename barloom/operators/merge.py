@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import equivalent
-from .indicators import SERIES
+from .indicators import series
 
 BAR_KEY = ["listing", "trading_date"]
 BAR_FIELDS = ["open", "high", "low", "close", "volume"]
@@ -65,7 +65,7 @@ def compare_bars(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 def derived(bars: DataFrame) -> DataFrame:
     """change, changepct, typ, hl_range, oc_range as decimals of scale 8, half up; a zero predecessor gives no changepct."""
     p = {c: F.col(c).cast("decimal(30,10)") for c in ("open", "high", "low", "close")}
-    before = F.lag(p["close"], 1).over(SERIES)
+    before = F.lag(p["close"], 1).over(series())
     change = (p["close"] - before).cast("decimal(30,10)")
     return bars.withColumns({
         "change": change.cast("decimal(30,8)"),

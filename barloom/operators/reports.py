@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import distance, ratio
-from .indicators import SERIES
+from .indicators import series
 
 TOP = 12
 ANOMALIES = 40
@@ -24,7 +24,7 @@ def instrument(listing: Column) -> Column:
 
 
 def day_rows(bars: DataFrame) -> DataFrame:
-    return bars.withColumns({"ret": F.round(distance(F.col("close"), F.lag("close", 1).over(SERIES)), 8), "instrument": instrument(F.col("listing"))})
+    return bars.withColumns({"ret": F.round(distance(F.col("close"), F.lag("close", 1).over(series())), 8), "instrument": instrument(F.col("listing"))})
 
 
 def equities(rows: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def price_anomalies(rows: DataFrame) -> DataFrame:
 
 def volume_anomalies(rows: DataFrame, multiple: float = 1.5, beyond: float = 10, least_volume: float = 100) -> DataFrame:
     """Volumes of a multiple of the 20 bars before, all of them known."""
-    prior = SERIES.rowsBetween(-20, -1)
+    prior = series().rowsBetween(-20, -1)
     found = rows.withColumn("prior_average", F.when(F.count("volume").over(prior) >= 20, F.avg("volume").over(prior)))
     found = found.withColumn("multiple", F.round(ratio(F.col("volume"), F.col("prior_average")), 8))
     found = found.where((F.col("multiple") >= multiple) & ((F.col("multiple") > beyond) | (F.col("volume") >= least_volume)))

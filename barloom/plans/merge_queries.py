@@ -195,7 +195,7 @@ def feature_ranking(spark, sf_dir):
 
 
 def history_count(spark, sf_dir):
-    return adapters.raw_bars(spark, sf_dir).select(*KEY, F.row_number().over(ti.SERIES).alias("history_count"))
+    return adapters.raw_bars(spark, sf_dir).select(*KEY, F.row_number().over(ti.series()).alias("history_count"))
 
 
 def history_coverage(spark, sf_dir):
