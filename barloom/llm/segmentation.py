@@ -63,7 +63,8 @@ class Pieces:
                 self.byte[int(piece[3:5], 16)] = i
             elif not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)):
                 self.weight[piece] = (i, -sharpness * math.log(min(-self.model.get_score(i), float(n)) + RANK_OFFSET))
-        self.longest = max(map(len, self.weight))
+        # every prefix of a piece: its own weight, or None if it only leads to longer ones
+        self.prefix = {piece[:i]: self.weight.get(piece[:i]) for piece in self.weight for i in range(1, len(piece) + 1)}
         self.of_byte = {i: b for b, i in enumerate(self.byte)}
 
     def units(self, text: str) -> list[str]:
@@ -98,27 +99,36 @@ class Lattices:
         if at is not None:
             return at
         self.frozen = None  # views on the tables must go before these grow
-        p, n, base = self.pieces, len(unit), len(self.first) - 1
-        total, edges = [0.0] * (n + 1), [[] for _ in range(n)]  # total: log of the weight of all ways to the end
+        pieces, n, base = self.pieces, len(unit), len(self.first) - 1
+        prefix, none = pieces.prefix, pieces  # any value that no prefix has
+        exp, log = math.exp, math.log
+        total, edges = [0.0] * (n + 1), [None] * n  # total: log of the weight of all ways to the end
         for i in range(n - 1, -1, -1):
-            own = edges[i]
-            for j in range(i + 1, min(n, i + p.longest) + 1):
-                hit = p.weight.get(unit[i:j])
+            ends, ids, weights = [], [], []
+            for j in range(i + 1, n + 1):
+                hit = prefix.get(unit[i:j], none)
+                if hit is none:
+                    break
                 if hit:
-                    own.append((j, (hit[0],), hit[1] + total[j]))
-            if not own:
-                own.append((i + 1, tuple(p.byte[b] for b in unit[i].encode("utf-8", "surrogatepass")), BYTE_LOG_WEIGHT + total[i + 1]))
-            most = max(w for _, _, w in own)
-            total[i] = most + math.log(sum(math.exp(w - most) for _, _, w in own))
-        for i in range(n):
-            reached = 0.0
-            for j, ids, w in edges[i]:
-                q = w - total[i]
-                reached += math.exp(q)
-                self.cdf.append(base + i + min(reached, 1.0))
+                    ends.append(j)
+                    ids.append((hit[0],))
+                    weights.append(hit[1] + total[j])
+            if not ends:
+                ends, weights = [i + 1], [BYTE_LOG_WEIGHT + total[i + 1]]
+                ids = [tuple(pieces.byte[b] for b in unit[i].encode("utf-8", "surrogatepass"))]
+            most = max(weights)
+            shares = [exp(w - most) for w in weights]
+            whole = sum(shares)
+            total[i] = most + log(whole)
+            edges[i] = ends, ids, weights, shares, whole
+        for i, (ends, ids, weights, shares, whole) in enumerate(edges):
+            reached = base + i
+            for j, own, w, share in zip(ends, ids, weights, shares):
+                reached += share / whole
+                self.cdf.append(reached)
                 self.to.append(base + j if j < n else -1)
-                self.logq.append(q)
-                self.ids.append(self.packed.setdefault(ids, struct.pack(f"<{len(ids)}I", *ids)))
+                self.logq.append(w - total[i])
+                self.ids.append(self.packed.get(own) or self.packed.setdefault(own, struct.pack(f"<{len(own)}I", *own)))
             self.cdf[-1] = float(base + i + 1)
             self.first.append(len(self.cdf))
         self.start[unit] = base
@@ -163,42 +173,51 @@ def perturbed_paths(starts: list[int], lattices: Lattices, k: int, seed: int) ->
     n = len(starts)
     first, to, logq = lattices.first, lattices.to, lattices.logq
     # (-score, order, unit, node, log probability, edges so far as a linked list)
-    agenda = [(-_gumbel(noise), 0, 0, starts[0] if n else -1, 0.0, None)]
+    score = _gumbel(noise)
+    agenda = [(-score, 0, 0, starts[0] if n else -1, 0.0, None)]
+    # the k + 1 largest scores so far; each belongs to another path, so a smaller score can't come up
+    tops = [score]
     found, order = [], 1
     while agenda and len(found) < k:
         score, _, unit, node, logp, path = heapq.heappop(agenda)
         largest, rest = -score, []
         while unit < n:
-            if logp < -RESOLUTION / 2:
-                ask = k - len(found)  # so many scores below this one count, the last as the threshold
-                least = -heapq.nsmallest(ask, agenda)[-1][0] if len(agenda) >= ask else -math.inf
-                if logp - least < -RESOLUTION:
-                    while node >= 0:
-                        edge, reached = first[node], node + noise.random()
-                        while lattices.cdf[edge] <= reached:
-                            edge += 1
-                        rest.append(edge)
-                        logp += logq[edge]
-                        node = to[edge]
-                    rng = rng or np.random.default_rng(seed)
-                    edges, drawn = lattices.draw(np.array(starts[unit + 1 :], np.int64), rng)
-                    rest, logp, unit = rest + edges, logp + drawn, n
-                    break
+            if len(tops) > k and logp - tops[0] < -RESOLUTION:
+                while node >= 0:
+                    edge, reached = first[node], node + noise.random()
+                    while lattices.cdf[edge] <= reached:
+                        edge += 1
+                    rest.append(edge)
+                    logp += logq[edge]
+                    node = to[edge]
+                rng = rng or np.random.default_rng(seed)
+                edges, drawn = lattices.draw(np.array(starts[unit + 1 :], np.int64), rng)
+                rest, logp, unit = rest + edges, logp + drawn, n
+                break
             edges = range(first[node], first[node + 1])
             phi = [logp + logq[e] for e in edges]
-            noisy = [x + _gumbel(noise) for x in phi]
-            top = max(range(len(noisy)), key=noisy.__getitem__)
+            noisy = [x + _gumbel(noise) for x in phi] if len(phi) > 1 else phi
+            most = max(noisy)
+            top = noisy.index(most)
             for i, edge in enumerate(edges):
-                if to[edge] >= 0:
-                    after = unit, to[edge]
-                else:
-                    after = unit + 1, starts[unit + 1] if unit + 1 < n else -1
                 if i == top:
-                    step = *after, phi[i], (path, edge)
+                    continue
+                given = _below(largest, noisy[i], most)
+                if len(tops) <= k:
+                    heapq.heappush(tops, given)
+                elif given > tops[0]:
+                    heapq.heapreplace(tops, given)
                 else:
-                    heapq.heappush(agenda, (-_below(largest, noisy[i], noisy[top]), order, *after, phi[i], (path, edge)))
-                    order += 1
-            unit, node, logp, path = step
+                    continue
+                after = (unit, to[edge]) if to[edge] >= 0 else (unit + 1, starts[unit + 1] if unit + 1 < n else -1)
+                heapq.heappush(agenda, (-given, order, *after, phi[i], (path, edge)))
+                order += 1
+            edge = edges[top]
+            logp, path = phi[top], (path, edge)
+            node = to[edge]
+            if node < 0:
+                unit += 1
+                node = starts[unit] if unit < n else -1
         head = []
         while path:
             path, edge = path
