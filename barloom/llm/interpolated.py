@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .simhash import _LOWER
 
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 700_000
 #: Tokens of the input for each range of key hashes.
 RANGE_TOKENS = 1_500_000
 CONTEXT_BUCKETS = 32
