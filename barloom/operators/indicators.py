@@ -26,7 +26,8 @@ def back(n: int):
 
 
 def returns(bars: DataFrame) -> DataFrame:
-    return bars.withColumns({f"return_{n}d_pct": distance(F.col("close"), F.lag("close", n).over(series())) for n in RETURN_LAGS})
+    lags = {f"__lag_{n}": F.lag("close", n).over(series()) for n in RETURN_LAGS}
+    return bars.withColumns(lags).withColumns({f"return_{n}d_pct": distance(F.col("close"), F.col(f"__lag_{n}")) for n in RETURN_LAGS}).drop(*lags)
 
 
 def bar_structure(bars: DataFrame) -> DataFrame:
@@ -81,12 +82,12 @@ def volatility(bars: DataFrame) -> DataFrame:
 
 def zscores(bars: DataFrame) -> DataFrame:
     """From return_1d_pct and return_3d_pct: against the 20 returns before the current one."""
-    prior, out = series().rowsBetween(-20, -1), {}
+    prior, named, out = series().rowsBetween(-20, -1), {}, {}
     for k in (1, 3):
         r = F.col(f"return_{k}d_pct")
-        z = ratio(r - F.avg(r).over(prior), F.stddev_samp(r).over(prior))
-        out[f"return_{k}d_zscore_20d"] = complete(z, r, prior, 20)
-    return bars.withColumns(out)
+        named |= {f"__n_{k}": F.count(r).over(prior), f"__mean_{k}": F.avg(r).over(prior), f"__sd_{k}": F.stddev_samp(r).over(prior)}
+        out[f"return_{k}d_zscore_20d"] = F.when(F.col(f"__n_{k}") == 20, ratio(r - F.col(f"__mean_{k}"), F.col(f"__sd_{k}")))
+    return bars.withColumns(named).withColumns(out).drop(*named)
 
 
 def bollinger(bars: DataFrame) -> DataFrame:

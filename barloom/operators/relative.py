@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import complete, distance, ratio
+from ..functions.numeric import distance, ratio
 
 #: Correlations this close beyond 1 are rounding.
 CLAMP = 1e-12
@@ -37,19 +37,25 @@ def relative_features(bars: DataFrame, bench: DataFrame) -> DataFrame:
     back = lambda n: own.rowsBetween(-(n - 1), 0)
     shared = F.col("shared")
     rows = rows.withColumn("rel_spx", F.when(shared, ratio(F.col("close"), F.col("bench_close"))))
-    out = {}
-    for n in (20, 50):
-        mean = complete(F.avg("rel_spx").over(back(n)), F.col("rel_spx"), back(n), n)
-        out[f"pct_rel_spx_{n}"] = F.when(shared, distance(F.col("rel_spx"), mean))
     s, b = F.col("own_return"), F.col("bench_return")
     both = F.when(s.isNotNull() & b.isNotNull(), 1)
+    # every window value is named once: an expression that uses one twice would compute it twice
+    sums = {f"__mean_{n}": F.avg("rel_spx").over(back(n)) for n in (20, 50)} | {f"__seen_{n}": F.count("rel_spx").over(back(n)) for n in (20, 50)}
+    for n in (20, 60, 63, 126, 252):
+        sums[f"__both_{n}"] = F.count(both).over(back(n))
+    for n in (20, 63, 126, 252):
+        sums |= {f"__own_{n}": F.product(1 + s).over(back(n)), f"__bench_{n}": F.product(1 + b).over(back(n))}
+    for n in (60, 252):
+        sums |= {f"__cov_{n}": F.covar_samp(s, b).over(back(n)), f"__vs_{n}": F.var_samp(s).over(back(n)), f"__vb_{n}": F.var_samp(b).over(back(n)), f"__corr_{n}": F.corr(s, b).over(back(n))}
+    rows = rows.withColumns(sums)
+    c, out = F.col, {}
+    for n in (20, 50):
+        out[f"pct_rel_spx_{n}"] = F.when(shared & (c(f"__seen_{n}") == n), distance(c("rel_spx"), c(f"__mean_{n}")))
     for n in (20, 63, 126, 252):
-        grown = [F.product(1 + x).over(back(n)) for x in (s, b)]
-        out[f"relative_return_spx_{n}d_pct"] = F.when(shared, complete(distance(*grown), both, back(n), n))
+        out[f"relative_return_spx_{n}d_pct"] = F.when(shared & (c(f"__both_{n}") == n), distance(c(f"__own_{n}"), c(f"__bench_{n}")))
     for n in (60, 252):
-        out[f"spx_beta_{n}d"] = F.when(shared, complete(ratio(F.covar_samp(s, b).over(back(n)), F.var_samp(b).over(back(n))), both, back(n), n))
-        flat = (F.var_samp(s).over(back(n)) == 0) | (F.var_samp(b).over(back(n)) == 0)
-        r = F.when(~flat, F.corr(s, b).over(back(n)))
+        full, r = shared & (c(f"__both_{n}") == n), c(f"__corr_{n}")
+        out[f"spx_beta_{n}d"] = F.when(full, ratio(c(f"__cov_{n}"), c(f"__vb_{n}")))
         clamped = F.when((F.abs(r) > 1) & (F.abs(r) <= 1 + CLAMP), F.signum(r)).otherwise(r)
-        out[f"spx_correlation_{n}d"] = F.when(shared, complete(clamped, both, back(n), n))
-    return rows.withColumns(out)
+        out[f"spx_correlation_{n}d"] = F.when(full & (c(f"__vs_{n}") != 0) & (c(f"__vb_{n}") != 0), clamped)
+    return rows.withColumns(out).drop(*sums)
