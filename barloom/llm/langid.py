@@ -42,7 +42,7 @@ SWITCH_PENALTY = 12.0
 SMOOTHING = 0.1
 CACHE_WORDS = 250_000
 #: Characters of text that a task labels at once.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 2_000_000
 UNDETERMINED = "und"
 
 _starts = np.array(sorted((a, b, i) for i, name in enumerate(SCRIPTS) for a, b in SCRIPTS[name]))
@@ -243,7 +243,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, with_
         single_threaded()
         scorer = WordScores(shared.value)
         for batch in batches:
-            texts = [x or "" for x in batch.column(0).to_pylist()]
+            texts = [x or "" for x in batch.column("text").to_pylist()]
             out, at = [[], [], []], 0
             while at < len(texts):
                 stop, size = at, 0
@@ -256,7 +256,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, with_
             made = [pa.array(out[0], pa.string()), pa.array(out[1], pa.float64())]
             if with_spans:
                 made.append(pa.array([[{"lang": a, "first": b, "stop": c} for a, b, c in s] for s in out[2]], span))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(columns))), *made], [*columns, *added])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], [*columns, *added])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(F.col("text").alias("__text"), *[F.col(f"`{c}`") for c in columns]).mapInArrow(run, f"{kinds}, {fields}")
+    return docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])]).mapInArrow(run, f"{kinds}, {fields}")

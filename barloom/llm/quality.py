@@ -171,12 +171,12 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, thres
         single_threaded()
         model, terms = shared.value, Terms()
         for batch in batches:
-            texts, scores = batch.column(0).to_pylist(), []
+            texts, scores = batch.column("text").to_pylist(), []
             for at in range(0, len(texts), BLOCK_DOCS):
                 scores.append(model.scores(np.stack([terms.row(t or "") for t in texts[at : at + BLOCK_DOCS]])))
             scores = np.concatenate(scores) if scores else np.empty(0)
             made = [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(columns))), *made], [*columns, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], [*columns, "score", "predicted"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(F.col("text").alias("__text"), *[F.col(f"`{c}`") for c in columns]).mapInArrow(run, f"{kinds}, score double, predicted int")
+    return docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])]).mapInArrow(run, f"{kinds}, score double, predicted int")

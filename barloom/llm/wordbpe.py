@@ -16,8 +16,8 @@ from itertools import islice
 from .common import single_threaded
 
 #: Chunks that the cache holds; when it is full, all but the first KEPT_CHUNKS go: frequent chunks come early.
-CACHE_CHUNKS = 600_000
-KEPT_CHUNKS = 200_000
+CACHE_CHUNKS = 200_000
+KEPT_CHUNKS = 60_000
 #: Characters of text whose chunks are looked up at once.
 BLOCK_CHARS = 2_000_000
 #: Chunks whose case folding and splitting are plain: Latin letters, then marks that don't start a contraction.
