@@ -1,7 +1,9 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance along paths.
 
 Each line of a file is compared with licence templates by the cosine of sparse
-TF-IDF vectors; a file's own licence is that of its best line.  Files that
+TF-IDF vectors, and so is each window of consecutive sentences up to twice a
+template's length, the header and the whole file wherever they can reach the
+threshold; a file's own licence is that of the best of them.  Files that
 govern (licence files) give their licence to their directory, and every file
 without a licence of its own takes that of its nearest ancestor directory, found
 by joins of directory paths.
@@ -39,7 +41,17 @@ LICENSE_FILES = re.compile(r"(?i)(licen[cs]e|copying|unlicense|notice)([.-].*)?"
 
 _TERM = re.compile(r"[a-z]+|\d+(?:\.\d+)*")
 _SKIPPED = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
+#: Tags that end a line; all others (links, emphasis) stand within one.
+_BLOCKS = (
+    "address article aside blockquote body br button caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frame frameset "
+    "h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe input legend li link main menu meta nav noscript object ol optgroup option p pre search section select summary "
+    "svg table tbody td template textarea tfoot th thead title tr ul video audio canvas"
+).split()
+_BLOCK = re.compile(r"(?is)</?(?:" + "|".join(_BLOCKS) + r")(?![\w:-])[^>]*>|<[!?][^>]*>")
 _TAG = re.compile(r"(?s)<[^>]*>")
+_SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
+#: Windows of several sentences hold at most so many times a template's words.
+WINDOW = 2
 
 
 def terms(line: str) -> Counter:
@@ -49,12 +61,17 @@ def terms(line: str) -> Counter:
 
 
 def text_lines(text: str, markup: bool = False) -> list[str]:
-    """Lines with content; in markup every tag ends a line."""
+    """Lines with content; in markup every block tag ends a line."""
     if markup:
-        text = html.unescape(_TAG.sub("\n", _SKIPPED.sub("\n", text)))
+        text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", _SKIPPED.sub("\n", text))))
     return [x for x in (line.strip(" \t\r*#/;-") for line in text.split("\n")) if x]
 
 
+def header_lines(text: str) -> list[str]:
+    """Lines with content before the first blank one."""
+    return text_lines(re.split(r"\n[ \t\r*#/;-]*\n", text.lstrip(), maxsplit=1)[0])
+
+
 class Matcher:
     """Cosines of a line to all templates, given document frequencies of the templates' terms."""
 
@@ -69,8 +86,16 @@ class Matcher:
             for t, n in c.items():
                 self.postings.setdefault(t, []).append((i, n * self.idf[t] / norm))
 
+        self.weights: list[dict[str, float]] = [{} for _ in counted]
+        for t, own in self.postings.items():
+            for i, w in own:
+                self.weights[i][t] = w
+        self.words = [sum(n for t, n in c.items() if " " not in t) for c in counted]
+
     def best(self, line: str) -> tuple[str | None, float]:
-        found = terms(line)
+        return self.best_of(terms(line))
+
+    def best_of(self, found: Counter) -> tuple[str | None, float]:
         norm = math.sqrt(sum((n * self.idf.get(t, self.other)) ** 2 for t, n in found.items()))
         scores = np.zeros(len(self.names))
         for t, n in found.items():
@@ -81,6 +106,74 @@ class Matcher:
         at = int(scores.argmax())
         return self.names[at], min(1.0, float(scores[at] / norm))
 
+    def possible(self, present: set[str], threshold: float) -> list[int]:
+        """Templates that some part of a text with these terms could reach: a cosine is at most the length of the template's part on the shared terms."""
+        mass = [0.0] * len(self.names)
+        for t in present:
+            for i, w in self.postings.get(t, ()):
+                mass[i] += w * w
+        return [i for i, m in enumerate(mass) if m >= threshold * threshold - 1e-9]
+
+    def windows(self, units: list[list[str]], i: int) -> tuple[float, float]:
+        """Best cosines to template ``i`` of windows of consecutive units: of all, and of those from the first unit.
+
+        A first unit without any of the template's words can only lower a cosine.
+        """
+        weights, idf, limit = self.weights[i], self.idf, WINDOW * self.words[i]
+        best = first = 0.0
+        for start, unit in enumerate(units):
+            if start and not any(w in weights for w in unit):
+                continue
+            counts, squares, dot, words, last = {}, 0.0, 0.0, 0, None
+            for unit in units[start:]:
+                words += len(unit)
+                if words > limit and last is not None:
+                    break
+                for w in unit:
+                    for t in (w,) if last is None else (w, f"{last} {w}"):
+                        n = counts.get(t, 0)
+                        counts[t] = n + 1
+                        x = idf.get(t, self.other)
+                        squares += (2 * n + 1) * x * x
+                        if t in weights:
+                            dot += weights[t] * x
+                    last = w
+                score = min(1.0, dot / math.sqrt(squares))
+                best = max(best, score)
+                if not start:
+                    first = max(first, score)
+        return best, first
+
+    def best_in(self, lines: list[str], threshold: float, header: list[str] | None = None) -> tuple[tuple[str | None, float], bool]:
+        """The best line, or window of sentences, header or whole text if that reaches ``threshold``; whether the text starts with such a one."""
+        best, headed, present, last = (None, 0.0), False, set(), None
+        for at, line in enumerate(lines):
+            words = _TERM.findall(line.lower())
+            found = Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:]))
+            got = self.best_of(found)
+            headed |= not at and got[1] >= threshold
+            if got[1] > best[1]:
+                best = got
+            present |= found.keys() & self.postings.keys()
+            if words:
+                if last is not None and (pair := f"{last} {words[0]}") in self.postings:
+                    present.add(pair)
+                last = words[-1]
+        units = None
+        for i in self.possible(present, threshold):
+            if units is None:
+                units = [w for line in lines for part in _SENTENCE.split(line) if (w := _TERM.findall(part.lower()))]
+                wholes = [[[w for x in part for w in _TERM.findall(x.lower())]] for part in (lines, header or [])]
+            score, first = self.windows(units, i)
+            for whole in wholes:
+                if whole[0]:
+                    got = self.windows(whole, i)[1]
+                    score, first = max(score, got), max(first, got)
+            headed |= first >= threshold
+            if score >= threshold and score > best[1] + 1e-12:
+                best = self.names[i], score
+        return best, headed
+
 
 def term_frequencies(files: DataFrame, templates: dict[str, list[str]], markup: bool) -> tuple[dict[str, int], int]:
     """Lines that hold each term of the templates, and all lines, over every file (as many rows as templates have terms)."""
@@ -102,9 +195,10 @@ def term_frequencies(files: DataFrame, templates: dict[str, list[str]], markup:
 def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, markup: bool = False, threshold: float = THRESHOLD) -> DataFrame:
     """key, path, own_license, own_score, headed of each row (key, path, text).
 
-    ``own_license`` is the licence of the best line from ``threshold`` on (else
-    null); ``headed`` says that the first line has it.  A null or empty text has
-    none and score 0.
+    ``own_license`` is the licence of the best line, window of sentences, header
+    or whole text from ``threshold`` on (else null, and ``own_score`` is the best
+    line's); ``headed`` says that the text starts with such a one.  A null or
+    empty text has none and score 0.
     """
     templates = templates or TEMPLATES
     frequency, lines = term_frequencies(files, templates, markup)
@@ -115,12 +209,7 @@ def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, markup
         for batch in batches:
             names, scores, headed = [], [], []
             for text in batch.column(2).to_pylist():
-                best, first = (None, 0.0), False
-                for i, line in enumerate(text_lines(text or "", markup)):
-                    got = matcher.best(line)
-                    first |= not i and got[1] >= threshold
-                    if got[1] > best[1]:
-                        best = got
+                best, first = matcher.best_in(text_lines(text or "", markup), threshold, None if markup else header_lines(text or ""))
                 names.append(best[0] if best[1] >= threshold else None)
                 scores.append(best[1])
                 headed.append(first)

@@ -229,6 +229,26 @@ def test_license_cosine_matches_dense_vectors():
     assert matcher.best("zzz") == (None, 0.0)
 
 
+def test_license_notices_that_span_lines_or_hold_tags(spark):
+    import textwrap
+
+    notices = [(name, t) for name, own in licenses.TEMPLATES.items() for t in own]
+    plain = [(f"{i}/a.py", "# x\n" + "\n".join("# " + x for x in textwrap.wrap(t, 40)) + "\n\nprint(1)\n") for i, (_, t) in enumerate(notices)]
+    plain += [("sub/COPYING", textwrap.fill("Some Project, copyright its authors. " + notices[-1][1] + " Nothing else here.", 30)), ("sub/x.py", "print(2)")]
+    df = spark.createDataFrame(plain, "path string, text string").withColumn("key", F.col("path"))
+    got = {r["path"]: r["license"] for r in rows_of(licenses.license_scan(df))}
+    assert [got[f"{i}/a.py"] for i in range(len(notices))] == [name for name, _ in notices]
+    assert got["sub/COPYING"] == got["sub/x.py"] == notices[-1][0]
+    pages = [
+        ("CC-BY-4.0", "<p>Words before.</p><p>This work is licensed under a <a href='x'>Creative Commons <b>Attribution</b> 4.0 International License</a>.</p>"),
+        ("Apache-2.0", "<div>Licensed under the <a>Apache License,\n Version 2.0</a>.</div><div>rest of it</div>"),
+        ("MIT", "<p>Many other words of a long paragraph come first here. Released under the MIT License. And many more of them after it.</p>"), (None, "<p>Read the license.</p>"),
+    ]
+    df = spark.createDataFrame([(str(i), f"h/{i}", t) for i, (_, t) in enumerate(pages)], "key string, path string, text string")
+    got = {r["key"]: r["own_license"] for r in rows_of(licenses.license_scan(df, markup=True))}
+    assert [got[str(i)] for i in range(len(pages))] == [name for name, _ in pages]
+
+
 # --- 6 packing ---
 
 
