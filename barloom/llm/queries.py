@@ -15,14 +15,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four sampled segmentations of every turn of ``conversations``; the digest tells whether each decodes to its text."""
-    turns = read_table(spark, sf_dir, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
-    found = segmentation.sample_segmentations(turns, ["conv_id", "turn", "text"])
-    return found.select(
-        "conv_id", "turn", "rank", F.size("ids").cast("long").alias("n_ids"),
-        F.md5(F.concat_ws(",", F.transform("ids", lambda x: x.cast("string")))).alias("ids_md5"),
-        "log_prob", "perturbed", "log_inclusion", (F.col("decoded") == F.col("text")).alias("decodes"),
-    )
+    """Four sampled segmentations of every text of ``documents`` and every turn of ``conversations``; the digest tells whether each decodes to its text.
+
+    Rows of documents have a ``doc_id``, those of conversations ``conv_id`` and ``turn``.
+    """
+
+    def sampled(name: str, keys: list[str]) -> DataFrame:
+        rows = read_table(spark, sf_dir, name).withColumn("text", F.coalesce("text", F.lit("")))
+        found = segmentation.sample_segmentations(rows, [*keys, "text"])
+        return found.select(
+            F.lit(name).alias("table"), *keys, "rank", F.size("ids").cast("long").alias("n_ids"),
+            F.md5(F.concat_ws(",", F.transform("ids", lambda x: x.cast("string")))).alias("ids_md5"),
+            "log_prob", "perturbed", "log_inclusion", (F.col("decoded") == F.col("text")).alias("decodes"),
+        )
+
+    return sampled("documents", ["doc_id"]).unionByName(sampled("conversations", ["conv_id", "turn"]), allowMissingColumns=True)
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,8 @@ SHARPNESS = 0.5
 #: Log weight of a character that only bytes can spell.
 BYTE_LOG_WEIGHT = -9.0
 CACHE_NODES = 1_000_000
+#: Rows go out in batches of about so many characters.
+BATCH_CHARS = 500_000
 #: Natural log of the smallest chance that a double drawn from [0, 1) can show.
 RESOLUTION = 40.0
 
@@ -259,9 +261,12 @@ def sample_segmentations(rows: DataFrame, keys: list[str], text_col: str = "text
         for batch in batches:
             named = [batch.column(i).to_pylist() for i in range(len(keys))]
             texts = batch.column(len(keys)).to_pylist()
-            for begin in range(0, len(texts), 1000):
-                at, cols = [], [[] for _ in range(6)]
-                for i in range(begin, min(len(texts), begin + 1000)):
+            end = 0
+            while end < len(texts):
+                at, cols, chars, begin = [], [[] for _ in range(6)], 0, end
+                while end < len(texts) and end - begin < 1000 and chars < BATCH_CHARS:
+                    chars, end = chars + len(texts[end] or ""), end + 1
+                for i in range(begin, end):
                     own = xxhash.xxh64_intdigest(repr([seed, *(c[i] for c in named)]).encode())
                     for rank, (ids, logp, score, inclusion) in enumerate(sample_text(texts[i] or "", pieces, lattices, k, own), 1):
                         at.append(i)

@@ -142,6 +142,18 @@ def test_segmentations_decode_and_are_seeded_by_key(spark, docs):
         assert r["log_inclusion"] <= 0 and r["log_prob"] <= 1e-9
 
 
+def test_segmentation_query_reads_documents_and_conversations(spark, docs, tmp_path):
+    from barloom.llm import queries
+
+    some = docs.where("doc_id IN (1, 5, 6, 14, 16)")
+    some.write.parquet(f"{tmp_path}/documents.parquet")
+    some.select(F.col("doc_id").alias("conv_id"), F.lit(2).alias("turn"), "text").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = rows_of(queries.op2_segmentation(spark, str(tmp_path)))
+    for name, key in (("documents", "doc_id"), ("conversations", "conv_id")):
+        own = [r for r in got if r["table"] == name]
+        assert collections.Counter(r[key] for r in own) == {1: 4, 5: 1, 6: 1, 14: 4, 16: 4} and all(r["decodes"] for r in own)
+
+
 # --- 3 SpotSigs ---
 
 
