@@ -38,7 +38,8 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN, anch
 
     Words are lower-cased runs of letters and digits; the words before the
     first anchor are a run too.  A text without words, null as the empty text,
-    has the hash of the text.  So the set is never empty.
+    has the hash of the text; one whose words give no chain (anchors only) has
+    each word.  So the set is never empty.
     """
     words = "|".join(sorted(set(anchors or ANCHORS)))
     norm, segs, sigs = f"__{out}_norm", f"__{out}_segs", f"__{out}_sigs"
@@ -51,6 +52,7 @@ def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN, anch
     chosen = (
         F.when(F.trim(F.col(norm)) == "", F.array(F.coalesce(F.col(text), F.lit(""))))
         .when(F.trim(F.substring_index(F.col(norm), " ", SHORT + 2)) == F.trim(F.col(norm)), F.concat(F.col(sigs), F.col(segs)))
+        .when(F.size(sigs) == 0, F.split(F.trim(F.col(norm)), " "))
         .otherwise(F.col(sigs))
     )
     df = df.withColumn(sigs, chosen)
@@ -68,10 +70,10 @@ def length_partition(signatures: Column, least: float = LEAST) -> Column:
 
 
 def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
-    """Jaccard likeness of two sets; 0 where the lengths already bound it below ``least``."""
-    bound = F.least(F.size(a), F.size(b)) / F.greatest(F.size(a), F.size(b))
+    """Jaccard likeness of two sets; 0 where the lengths already bound it below ``least``, 1 of two empty sets."""
+    bound = F.least(F.size(a), F.size(b)) / F.nullif(F.greatest(F.size(a), F.size(b)), F.lit(0))
     both = F.size(F.array_intersect(a, b))
-    return F.when(a.isNull() | b.isNull() | (bound < least), F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+    return F.when(a.isNull() | b.isNull() | (bound < least), F.lit(0.0)).otherwise(F.coalesce(both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0)), F.lit(1.0)))
 
 
 def with_next(docs: DataFrame, buckets: int) -> tuple[DataFrame, object]:

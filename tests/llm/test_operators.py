@@ -179,6 +179,16 @@ def test_spotsigs_length_bound_prunes(spark):
     assert got == [0.0, 1 / 3, 0.0]
 
 
+def test_spotsigs_of_long_texts_of_anchors_only(spark):
+    texts = ["the of and to " * 5, "le la les de " * 6, "", "the of and to " * 5 + "harbour"]
+    got = [r for _, r in sorted((r["doc_id"], r) for r in rows_of(spotsigs.edited_fingerprints(make(spark, [(i, t, None) for i, t in enumerate(texts)]))))]
+    assert [r["n_signatures"] for r in got] == [4, 4, 1, 1]
+    assert got[0]["fingerprint"] != got[1]["fingerprint"] and got[0]["near_next"] == got[1]["near_next"] == 0
+    assert got[1]["near_edited"] == 1  # the next text is empty, so half of the anchors stay
+    empty = spark.createDataFrame([([], [])], "a array<int>, b array<int>")
+    assert empty.select(spotsigs.pruned_jaccard(F.col("a"), F.col("b"))).first()[0] == 1
+
+
 # --- 4 quality ---
 
 
