@@ -5,10 +5,11 @@ content words that follow it, up to the next anchor; a run of content words
 without an anchor is broken after every few words, and each part starts a chain
 of its own.  A text's fingerprint is
 its set of hashed signatures, written as sorted hexadecimal numbers, so two
-fingerprints can be compared by themselves.  Sets are partitioned by length: at
-a likeness of ``least`` or more only sets of the same or the neighbouring
-partition can meet, and the ratio of lengths bounds the Jaccard likeness before
-any signature is compared.
+fingerprints can be compared by themselves.  ``edited_fingerprints`` gives plain
+likenesses, unpruned.  ``near_sets`` matches all documents: sets are partitioned
+by length, since at a likeness of ``least`` or more only sets of the same or the
+neighbouring partition can meet, and the ratio of lengths bounds the Jaccard
+likeness before any signature is compared.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: Common words of English, French, German and Spanish that anchor signatures.
 ANCHORS = (
     "the of and to in a is that it for on was be with as this by at are an from "
@@ -31,6 +34,8 @@ RUN = 5
 #: Texts of at most so many words have each word as a further signature.
 SHORT = 16
 LEAST = 0.8
+#: A signature of more sets than this is matched in several parts.
+HOT = 1000
 
 
 def with_signatures(df: DataFrame, text: str, out: str, chain: int = CHAIN, anchors: list[str] | None = None) -> DataFrame:
@@ -132,3 +137,32 @@ def edited_fingerprints(docs: DataFrame, buckets: int | None = None, chain: int
         F.size("signatures").cast("long").alias("n_signatures"),
         length_partition(F.col("signatures")).alias("length_partition"),
     )
+
+
+def near_sets(docs: DataFrame, least: float = LEAST, chain: int = CHAIN, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Members (doc_id, set_id) and pairs (a, b, likeness): all pairs of distinct fingerprints from ``least`` on.
+
+    Documents of one fingerprint are one set.  Two such sets share one of the
+    rarest n - ceil(least n) + 1 signatures of each; those meet by signature and
+    length partition, within the bound of lengths, before likenesses are
+    computed.  ``a`` is the smaller set (or the first by id).
+    """
+    own = with_signatures(docs.select("doc_id", "text"), "text", "signatures", chain).select("doc_id", F.md5(as_text(F.col("signatures"))).alias("set_id"), "signatures")
+    own = materialize(own, "spotsigs")
+    sets = materialize(own.dropDuplicates(["set_id"]).select("set_id", "signatures"), "spotsets")
+    each = sets.select("set_id", F.explode("signatures").alias("sig"))
+    ranked = each.join(each.groupBy("sig").agg(F.count("*").alias("n_sets")), "sig").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("n_sets", "sig"))).alias("by_rarity"))
+    size = F.size("by_rarity")
+    prefix = (size - F.ceil(F.lit(least) * size - 1e-9) + 1).cast("int")
+    ranked = ranked.select("set_id", size.alias("n"), length_partition(F.col("by_rarity"), least).alias("part"), F.explode(F.slice("by_rarity", F.lit(1), prefix)).alias("s"))
+    split = F.ceil(F.col("s.n_sets") / F.lit(hot)).cast("int")
+    keyed = materialize(ranked.where("s.n_sets > 1").select("set_id", "n", "part", F.col("s.sig").alias("sig"), split.alias("split")), "spotprefixes")
+    small = keyed.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), "part", "sig", F.pmod(F.xxhash64("set_id"), F.col("split")).cast("int").alias("salt"))
+    large = keyed.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.explode(F.array(F.col("part"), F.col("part") - 1)).alias("part"), "sig", "split")
+    large = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("split") - 1))).drop("split")
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    met = small.join(large, ["sig", "part", "salt"]).where(ordered & (F.col("n_a") >= F.lit(least) * F.col("n_b") - 1e-9)).select("a", "b").distinct()
+    with_a = met.join(sets.select(F.col("set_id").alias("a"), F.col("signatures").alias("sigs_a")), "a")
+    with_b = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("signatures").alias("sigs_b")), "b")
+    pairs = with_b.select("a", "b", pruned_jaccard(F.col("sigs_a"), F.col("sigs_b"), least - 1e-9).alias("likeness")).where(F.col("likeness") >= F.lit(least - 1e-12))
+    return own.select("doc_id", "set_id"), pairs

@@ -189,6 +189,21 @@ def test_spotsigs_of_long_texts_of_anchors_only(spark):
     assert empty.select(spotsigs.pruned_jaccard(F.col("a"), F.col("b"))).first()[0] == 1
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_spotsigs_near_sets_equal_brute_force(spark, docs, hot):
+    base = [prose(i, 150).split() for i in range(4)]
+    texts = [" ".join(w[:cut] + ["zebra"] * more) for w in base for cut, more in ((150, 0), (148, 0), (140, 2), (150, 30), (125, 0), (120, 1), (90, 0))]
+    rows = docs.unionByName(make(spark, [(100 + i, t, "en") for i, t in enumerate(texts)]))
+    members, pairs = spotsigs.near_sets(rows, hot=hot)
+    sets = {r["set_id"]: frozenset(r["signatures"]) for r in rows_of(spotsigs.with_signatures(rows, "text", "signatures").withColumn("set_id", F.md5(spotsigs.as_text(F.col("signatures")))))}
+    want = {frozenset(p): len(sets[p[0]] & sets[p[1]]) / len(sets[p[0]] | sets[p[1]]) for p in itertools.combinations(sets, 2)}
+    want = {p: x for p, x in want.items() if x >= 0.8}
+    found = rows_of(pairs)
+    got = {frozenset((r["a"], r["b"])): r["likeness"] for r in found}
+    assert len(got) == len(found) and len(want) > 5 and got == pytest.approx(want)
+    assert members.count() == rows.count() and {r["set_id"] for r in rows_of(members)} == set(sets)
+
+
 # --- 4 quality ---
 
 
