@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Legal-form words dropped from company names.
-LEGAL_WORDS = "INC|INCORPORATED|CORP|CORPORATION|CO|COMPANY|LTD|LIMITED|LLC|PLC|SA|AG|NV"
+#: Words that don't tell companies apart; they are removed from names before these are compared.
+LEGAL_WORDS = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "plc", "llc", "class", "common", "stock"]
+
+
+def _folds() -> tuple[str, str]:
+    """Latin letters with marks, and the plain letter that each decomposes into."""
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))[0]) for c in range(0xC0, 0x250)]
+    pairs = [(c, base) for c, base in pairs if c.lower() == c and base.isascii() and base.isalnum()]
+    return "".join(c for c, _ in pairs), "".join(base for _, base in pairs)
+
+
+ACCENTED, PLAIN = _folds()
 
 
 def normalized_name(name: Column) -> Column:
-    """Upper case without punctuation, legal-form words and repeated spaces."""
-    bare = F.regexp_replace(F.upper(name), r"[^A-Z0-9 ]", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, rf"\b(?:{LEGAL_WORDS})\b", " "), " +", " "))
+    """Lower case, other characters than ASCII letters and digits as spaces, without ``LEGAL_WORDS``; null if nothing is left."""
+    bare = F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9]+", " ")
+    return F.nullif(F.trim(F.regexp_replace(bare, rf"\b(?:{'|'.join(LEGAL_WORDS)})\b", "")), F.lit(""))
 
 
 def normalized_symbol(symbol: Column) -> Column:
@@ -43,8 +55,8 @@ def row_hash(*columns: str) -> Column:
 
 
 def friendly_name(text: Column, longest: int = 40) -> Column:
-    """Path-safe: accents of Latin letters folded, other marks to underscores, cut at a word."""
-    folded = F.translate(F.lower(text), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+    """Path-safe: accents of Latin letters folded, other marks to underscores, cut at a word; from the whole text."""
+    folded = F.translate(F.lower(text), ACCENTED, PLAIN)
     safe = F.regexp_replace(F.regexp_replace(folded, r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
     cut = F.when(F.char_length(safe) <= longest, safe).otherwise(F.regexp_replace(F.substring(safe, 1, longest + 1), r"_?[^_]*$", ""))
     return F.coalesce(F.nullif(cut, F.lit("")), F.lit("untitled"))

@@ -91,7 +91,11 @@ def session_coverage(bars: DataFrame, missing: DataFrame) -> DataFrame:
 
 
 def prior_bar(bars: DataFrame, asked: DataFrame) -> DataFrame:
-    """For each (listing, as_of) the last bar before it."""
-    found = asked.join(bars, "listing").where(F.col("trading_date") < F.col("as_of"))
-    best = found.groupBy("listing", "as_of").agg(F.max_by(F.struct("trading_date", "close"), "trading_date").alias("prior"))
-    return asked.join(best, ["listing", "as_of"], "left").select("listing", "as_of", F.col("prior.trading_date").alias("prior_date"), F.col("prior.close").alias("prior_close"))
+    """For each (listing, as_of) the last bar before it: one pass over both in date order."""
+    bar = F.struct("trading_date", "close").alias("bar")
+    rows = bars.select("listing", F.col("trading_date").alias("at"), F.lit(True).alias("is_bar"), bar)
+    both = rows.unionByName(asked.select("listing", F.col("as_of").alias("at"), F.lit(False).alias("is_bar")).distinct(), allowMissingColumns=True)
+    # a bar of the date itself comes after the question
+    upto = Window.partitionBy("listing").orderBy("at", "is_bar").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("prior", F.last("bar", ignorenulls=True).over(upto)).where("NOT is_bar")
+    return found.select("listing", F.col("at").alias("as_of"), F.col("prior.trading_date").alias("prior_date"), F.col("prior.close").alias("prior_close"))

@@ -276,7 +276,7 @@ def duration_parse(spark, sf_dir):
 
 
 def friendly_name(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.friendly_name(F.substring("text", 1, 80)).alias("name"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.friendly_name(F.col("text")).alias("name"))
 
 
 def provenance_merge(spark, sf_dir):
@@ -299,7 +299,7 @@ def provider_pivot(spark, sf_dir):
 
 
 def outcome_join(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     n = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("returned"))
     return o.join(n, "o_orderkey", "left")
 
@@ -373,7 +373,8 @@ def _lost(source, key, name, severity):
     return f"SELECT 'conflict_{name}' AS conflict, '{severity}' AS severity, CAST({key} AS VARCHAR) AS key, count(*) AS n, '' AS sample FROM {source} GROUP BY {key}"
 
 
-_PLAIN = r"trim(regexp_replace(regexp_replace(regexp_replace(upper(name), '[^A-Z0-9 ]', ' ', 'g'), '\b(?:" + text.LEGAL_WORDS + r")\b', ' ', 'g'), ' +', ' ', 'g'))"
+_BARE = "regexp_replace(lower(trim(name)), '[^a-z0-9]+', ' ', 'g')"
+_PLAIN = rf"nullif(trim(regexp_replace({_BARE}, '\b(?:{'|'.join(text.LEGAL_WORDS)})\b', '', 'g')), '')"
 _C = {
     "cik_identifier_multiple_issuers": _many("issuers", ["cik"], "issuer", "cik_identifier_multiple_issuers", "FAIL", "cik IS NOT NULL"),
     "issuer_missing_cik_from_sec_evidence": _differ("(SELECT issuer, 'none' AS a, o.cik AS b FROM issuers i JOIN obs o USING (issuer) WHERE i.cik IS NULL)", "a", "b", "issuer", "issuer_missing_cik_from_sec_evidence", "WARN"),
@@ -400,7 +401,7 @@ _WORST = "CASE WHEN bool_or(severity = 'FAIL') THEN 'FAIL' WHEN bool_or(severity
 _EVID = f"WITH {_B}, ev AS (SELECT security AS subject, bool_or(lpad(CAST(issuer % 90 AS VARCHAR), 10, '0') = cik) AS cik_match, count(DISTINCT ticker) = 1 AS ticker_stable, count(DISTINCT upper(raw_exchange)) = 1 AS exchange_stable, count(DISTINCT seen) AS n_snapshots, CAST(max(seen) - min(seen) AS BIGINT) AS span_days, CAST(count(DISTINCT cik) - 1 > 20 AS INTEGER) AS conflicts FROM obs GROUP BY 1)"
 _DQ = f"WITH {_B}, dq AS (SELECT * FROM (SELECT count(*) FILTER (cik IS NULL) AS missing_cik, count(*) FILTER (trim(name) = '') AS missing_name FROM issuers), (SELECT count(*) FILTER (listing IS NULL) AS missing_listing, count(*) FILTER (seen > DATE '2001-06-01') AS late FROM obs))"
 _DELTA = "WITH d AS (SELECT o_orderstatus, count(*) FILTER (CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31') AS created, count(*) FILTER (CAST(o_orderdate AS DATE) < DATE '1996-01-01') AS before FROM orders GROUP BY 1)"
-_ACCENTS = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy"
+_ACCENTS = f"{text.ACCENTED}', '{text.PLAIN}"
 from ..sources.adapters import BARS_SQL  # noqa: E402
 
 SQL |= {
@@ -436,12 +437,12 @@ SQL |= {
     "row_hash": "SELECT p_partkey, sha256(p_partkey || chr(31) || coalesce(p_brand, chr(0)) || chr(31) || p_size) AS hash FROM part",
     "duration_parse": """WITH s AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_orderkey % 70 WHEN 1 THEN o_orderkey % 3 * 86400 + o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 WHEN 2 THEN NULL ELSE o_orderkey % 9 * 3600 END AS seconds FROM orders)
         SELECT o_orderkey, seconds, CASE WHEN seconds IS NOT NULL THEN printf('%d:%02d:%02d', seconds // 3600, seconds % 3600 // 60, seconds % 60) ELSE 'null:null:null' END AS clock FROM s""",
-    "friendly_name": f"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(substring(text, 1, 80)), '{_ACCENTS}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe FROM documents)
+    "friendly_name": f"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(text), '{_ACCENTS}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe FROM documents)
         SELECT doc_id, coalesce(nullif(CASE WHEN length(safe) <= 40 THEN safe ELSE regexp_replace(substring(safe, 1, 41), '_?[^_]*$', '') END, ''), 'untitled') AS name FROM s""",
     "provenance_merge": "SELECT user_id, max(event_id) AS newest, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS origins, count(*) AS n FROM events GROUP BY 1",
     "nested_regroup": "SELECT user_id, CAST(ts AS DATE) AS day, '[' || string_agg('{\"e\":' || event_id || ',\"t\":\"' || event_type || '\"}', ',' ORDER BY event_id) || ']' AS items FROM events GROUP BY 1, 2",
     "provider_pivot": "SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS \"{t}\"" for t in TYPES) + " FROM events GROUP BY 1",
-    "outcome_join": "SELECT o_orderkey, o_orderstatus, returned FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (o_orderkey) WHERE o_orderkey % 2 = 0",
+    "outcome_join": "SELECT o_orderkey, o_orderstatus, returned FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (o_orderkey)",
     "success_rate": "WITH r AS (SELECT o_orderpriority, round(coalesce(count(*) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus IN ('F', 'O')), 0), 1.0), 6) AS rate FROM orders GROUP BY 1) SELECT o_orderpriority, rate, rate >= 0.5 AS passed FROM r",
     "lenient_filter": "WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS size FROM part) SELECT * FROM s WHERE coalesce(size >= 20, true)",
     "scope_filter": f"WITH {BARS_SQL} SELECT listing, trading_date, close FROM bars WHERE market IN ('ASIA', 'EUROPE') AND trading_date BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' AND listing <> 8",

@@ -139,7 +139,8 @@ def series_coverage(spark, sf_dir):
 
 
 def prior_bar_asof(spark, sf_dir):
-    asked = adapters.table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select("c_custkey", F.col("c_nationkey").alias("listing"), F.expr("date_add(date'1993-01-01', cast(c_custkey % 2000 as int))").alias("as_of"))
+    as_of = F.expr("date_add(date'1993-01-01', cast(c_custkey % 2000 as int))").alias("as_of")
+    asked = adapters.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("listing"), as_of)
     found = coverage.prior_bar(adapters.bars(spark, sf_dir), asked.select("listing", "as_of").distinct())
     return asked.join(found, ["listing", "as_of"])
 
@@ -221,7 +222,7 @@ SQL = {
     "weekday_age": "WITH c AS (SELECT d, count(*) FILTER (isodow(d) <= 5) OVER (ORDER BY d) AS n FROM (SELECT CAST(unnest(generate_series(DATE '1900-01-01', DATE '2030-01-01', INTERVAL 1 DAY)) AS DATE) AS d)) SELECT o_orderkey, (SELECT n FROM c WHERE d = DATE '1998-08-02') - n AS age FROM orders JOIN c ON d = CAST(o_orderdate AS DATE)",
     "series_coverage": f"""WITH {BARS_SQL}, b AS (SELECT *, trading_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31' AS inside FROM bars)
         SELECT market, count(*) AS bars, count(*) FILTER (inside) AS scoped_bars, count(DISTINCT listing) AS listings, count(DISTINCT listing) FILTER (inside) AS scoped_listings, min(trading_date) FILTER (inside) AS scoped_first, max(trading_date) FILTER (inside) AS scoped_last FROM b GROUP BY 1""",
-    "prior_bar_asof": f"""WITH {BARS_SQL}, asked AS (SELECT c_custkey, c_nationkey AS listing, DATE '1993-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS as_of FROM customer WHERE c_custkey % 10 = 0)
+    "prior_bar_asof": f"""WITH {BARS_SQL}, asked AS (SELECT c_custkey, c_nationkey AS listing, DATE '1993-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS as_of FROM customer)
         SELECT a.*, b.trading_date AS prior_date, b.close AS prior_close FROM asked a ASOF LEFT JOIN bars b ON a.listing = b.listing AND b.trading_date < a.as_of""",
     "benchmark_status": f"""WITH {BARS_SQL}, k AS (SELECT *, lag(bench_close) OVER (ORDER BY trading_date) AS prior FROM bench), d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1995-12-31', INTERVAL 1 DAY)) AS DATE) AS trading_date)
         SELECT trading_date, CASE WHEN bench_close IS NOT NULL THEN 'REPORTED' WHEN isodow(trading_date) > 5 THEN 'MARKET_CLOSED' WHEN trading_date >= DATE '1995-12-29' THEN 'NOT_YET_ELIGIBLE' ELSE 'NO_DATA' END AS status,
