@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import equivalent, rounded
 from ..operators import indicators as ti
 from ..operators import recurrences, relative
+from ..operators.series import by_series
 from ..sources import adapters
 from ..sources.adapters import BARS_SQL
 
@@ -40,10 +41,13 @@ FEATURES = [c for own in DIGITS.values() for c in own]
 
 
 def features(spark, sf_dir) -> DataFrame:
-    """The wide row: every feature of every bar.  Windows, benchmark and recurrences share one exchange by listing."""
-    rows = ti.windowed(adapters.bars(spark, sf_dir))
-    rows = relative.relative_features(rows, adapters.benchmark(spark, sf_dir))
-    return recurrences.recurrent(rows)
+    """The wide row: every feature of every bar.  The series functions get narrow rows, and the windows follow them."""
+
+    def both(x):
+        return relative.relative_columns(x("close"), x("bench_close")) | recurrences.recurrent_columns(x("high"), x("low"), x("close"))
+
+    rows = relative.with_benchmark(adapters.bars(spark, sf_dir), adapters.benchmark(spark, sf_dir))
+    return ti.windowed(by_series(rows, both, [*relative.COLUMNS, *recurrences.COLUMNS]))
 
 
 STEPS = {

@@ -36,7 +36,7 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars with listing names; ``volume`` is null where no line item is known."""
-    return raw_bars(spark, sf_dir).join(F.broadcast(listings(spark, sf_dir)), "listing").select("listing", "market", "ticker", "trading_date", "open", "high", "low", "close", "volume")
+    return raw_bars(spark, sf_dir).join(listings(spark, sf_dir), "listing").select("listing", "market", "ticker", "trading_date", "open", "high", "low", "close", "volume")
 
 
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
