@@ -22,8 +22,8 @@ def differing(fields: list[str], a: str, b: str) -> Column:
 
 
 def classify_duplicates(rows: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
-    """One row a key: SINGLE, IDENTICAL (collapses) or CONFLICT (rejected), and the fields that differ."""
-    distinct = [F.count_distinct(F.coalesce(F.col(f).cast("string"), F.lit("~"))).alias(f"__{f}") for f in fields]
+    """One row a key: SINGLE, IDENTICAL (collapses) or CONFLICT (rejected), and the fields that differ; null is a value of its own."""
+    distinct = [(F.count_distinct(f) + F.max(F.col(f).isNull().cast("int"))).alias(f"__{f}") for f in fields]
     found = rows.groupBy(*key).agg(F.count("*").alias("n"), *distinct)
     names = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.col(f"__{f}") > 1, f) for f in fields])))
     kind = F.when(F.col("n") == 1, "SINGLE").when(names == "", "IDENTICAL").otherwise("CONFLICT")
@@ -42,21 +42,25 @@ def merge_optional(rows: DataFrame, key: list[str], fields: list[str]) -> DataFr
 
 
 def bar_violations(bars: DataFrame) -> DataFrame:
-    """Bars that break a relation, with the rules' names."""
+    """Bars that break a relation, with the rules' names.  NaN and infinite values break ``not_finite`` and no other rule."""
+    wild = F.lit(False)
+    for f in BAR_FIELDS:
+        wild = wild | F.coalesce(F.isnan(f) | (F.abs(f) == float("inf")), F.lit(False))
     rules = {
         "high_below": (F.col("high") < F.col("low")) | (F.col("high") < F.col("open")) | (F.col("high") < F.col("close")),
         "low_above": (F.col("low") > F.col("open")) | (F.col("low") > F.col("close")),
         "negative_volume": F.col("volume") < 0,
         "missing_price": F.col("open").isNull() | F.col("high").isNull() | F.col("low").isNull() | F.col("close").isNull(),
     }
+    rules = {name: rule & ~wild for name, rule in rules.items()} | {"not_finite": wild}
     broken = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), name) for name, rule in rules.items()])))
     return bars.withColumn("violations", broken).where("violations <> ''")
 
 
 def compare_bars(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Each incoming bar as INSERTED, CORRECTED or UNCHANGED, with differing fields."""
-    joined = incoming.alias("i").join(stored.alias("s"), BAR_KEY, "left")
-    exists = F.col("s.close").isNotNull()
+    joined = incoming.alias("i").join(stored.withColumn("__st", F.lit(True)).alias("s"), BAR_KEY, "left")
+    exists = F.col("s.__st").isNotNull()
     names = F.when(exists, differing(BAR_FIELDS, "i", "s")).otherwise("")
     kind = F.when(~exists, "INSERTED").when(names != "", "CORRECTED").otherwise("UNCHANGED")
     return joined.select(*BAR_KEY, kind.alias("kind"), names.alias("differing"))

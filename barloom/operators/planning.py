@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from .merge import BAR_FIELDS, BAR_KEY
 
-REASONS = ["tail_append", "missing", "source_drift", "history_drift", "version_drift"]
+#: Reasons to write rows, in their order; the first four and the version's come from the comparison.
+REASONS = ["tail_append", "missing", "source_drift", "history_drift", "benchmark_drift", "version_drift", "explicit_rebuild"]
+LOCAL_REASONS = REASONS[:4]
+COMPARED = [*LOCAL_REASONS, "version_drift"]
 
 
 def state_comparison(source: DataFrame, payload: DataFrame, version: str) -> DataFrame:
@@ -28,36 +31,50 @@ def state_comparison(source: DataFrame, payload: DataFrame, version: str) -> Dat
         "history_drift": there & (F.col("history_count") != F.col("n")),
         "version_drift": there & (F.col("version") != version),
     }
-    aggs = [F.count("*").alias("source_bars"), F.max("trading_date").alias("source_last")]
+    aggs = [F.count("*").alias("source_bars"), F.min("trading_date").alias("source_first"), F.max("trading_date").alias("source_last"), F.max("payload_last").alias("payload_last")]
     for name, flag in flags.items():
         flag = F.coalesce(flag, F.lit(False))
         aggs += [F.count(F.when(flag, 1)).alias(name), F.min(F.when(flag, F.col("trading_date"))).alias(f"{name}_from")]
     return rows.groupBy("listing").agg(*aggs)
 
 
-def affected_ranges(state: DataFrame) -> DataFrame:
-    """One suffix to write per listing with any reason; calculation always starts at the first bar."""
-    start = F.least(*[F.col(f"{r}_from") for r in REASONS])
-    reasons = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.col(r) > 0, r) for r in REASONS])))
-    return state.select("listing", start.alias("write_start"), F.col("source_last").alias("write_end"), reasons.alias("reasons")).where("write_start IS NOT NULL")
+def affected_ranges(listings: DataFrame, state: DataFrame, end, start=None, benchmark_drift=None, rebuild: list[int] = ()) -> DataFrame:
+    """One suffix to write per listing with any reason; calculation always starts at its first source bar.
 
-
-def readiness(coverage: DataFrame, as_of, least_bars: int) -> DataFrame:
-    """Reasons that keep a listing (bars, first_date, last_date) from being calculated."""
-    flags = {
-        "NO_BARS": F.col("bars") == 0,
-        "SHORT_HISTORY": (F.col("bars") > 0) & (F.col("bars") < least_bars),
-        "STALE": F.col("last_date") < F.date_sub(as_of, 7),
-        "FUTURE": F.col("last_date") > as_of,
-    }
-    reasons = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), name) for name, c in flags.items()])))
-    return coverage.select("listing", reasons.alias("reasons"), (reasons == "").alias("ready"))
+    ``listings``: listing, active, supported (by the benchmark).  ``start`` and
+    ``end`` limit the dates that are asked for, ``benchmark_drift`` is the first
+    changed date of the benchmark, ``rebuild`` lists listings to be written anew.
+    An inactive listing without another reason is written for a benchmark's
+    drift only as far as it has technical rows, and rows behind a changed one
+    are always written again.  Reasons come in the order of ``REASONS``.
+    """
+    date = lambda x: F.lit(x).cast("date")
+    rows = listings.join(state, "listing").where("source_first IS NOT NULL")
+    first, last, technical = F.col("source_first"), F.col("source_last"), F.col("payload_last")
+    rows = rows.withColumn("horizon", F.least(date(end), last)).where("horizon >= source_first")
+    horizon = F.col("horizon")
+    since = {r: F.when((F.col(r) > 0) & (F.col(f"{r}_from") <= horizon), F.col(f"{r}_from")) for r in LOCAL_REASONS}
+    since["version_drift"] = F.when(F.col("version_drift") > 0, first)
+    rebuilt = F.greatest(first, date(start))
+    since["explicit_rebuild"] = F.when(F.col("listing").isin(list(rebuild)) & (rebuilt <= horizon), rebuilt)
+    rows = rows.withColumns({f"__{r}": c for r, c in since.items()})
+    other = F.coalesce(*[F.col(f"__{r}") for r in since]).isNotNull()
+    reach = F.when(F.col("active") | other, horizon).otherwise(F.when(technical.isNotNull(), F.least(horizon, technical)))
+    drifted = date(benchmark_drift)
+    rows = rows.withColumns({"__benchmark_drift": F.when(F.col("supported") & (first <= drifted) & (drifted <= reach), drifted), "__other": other})
+    found = rows.withColumn("write_start", F.least(*[F.col(f"__{r}") for r in REASONS])).where("write_start IS NOT NULL")
+    only = ~F.col("active") & ~F.col("__other") & technical.isNotNull()
+    until = F.when(only, F.least(horizon, technical)).otherwise(horizon)
+    until = F.when(F.col("write_start") <= technical, F.greatest(until, technical)).otherwise(until)
+    found = found.withColumn("write_end", F.least(until, last)).where("write_start <= write_end")
+    reasons = F.concat_ws(",", F.array_compact(F.array(*[F.when(F.col(f"__{r}").isNotNull(), r) for r in REASONS])))
+    return found.select("listing", first.alias("calculation_start"), "write_start", "write_end", reasons.alias("reasons"))
 
 
 def published(slot_a: DataFrame, slot_b: DataFrame, membership: DataFrame) -> DataFrame:
     """Rows of the slot that is active for their listing (membership: listing, slot)."""
     rows = slot_a.withColumn("slot", F.lit("A")).unionByName(slot_b.withColumn("slot", F.lit("B")))
-    return rows.join(F.broadcast(membership), ["listing", "slot"])
+    return rows.join(membership, ["listing", "slot"])
 
 
 def select_slots(listings: DataFrame, membership: DataFrame) -> DataFrame:
@@ -77,30 +94,29 @@ def feature_ranking(rows: DataFrame, feature: str, n: int = 12) -> DataFrame:
     return rows.select("listing", "trading_date", F.col(feature).alias("value")).orderBy(F.col("value").desc_nulls_last(), "listing", "trading_date").limit(n)
 
 
-def feature_counts(rows: DataFrame, first_index: dict[str, int]) -> DataFrame:
-    """Populated, warm-up and other nulls of each feature, in one pass.
+def feature_counts(rows: DataFrame, minimum: dict[str, int], benchmark: set[str], guaranteed: set[str]) -> DataFrame:
+    """Populated values and nulls by reason of each feature, in one pass.
 
-    ``first_index``: observations before a feature's first value; a listing of
-    ``c`` rows has min(c, index) warm-up nulls.
+    ``rows`` have ``history_count`` and ``supported`` beside the features.
+    ``minimum``: observations that a feature needs; rows with fewer are warm-up.
+    Features of ``benchmark`` are never there for unsupported rows; those of
+    ``guaranteed`` must be there after the warm-up, and other nulls depend on
+    their inputs.
     """
-    sizes = rows.groupBy("listing").agg(F.count("*").alias("c"), *[F.count(f).alias(f) for f in first_index])
-    aggs = [F.sum("c").alias("total")]
-    for f, i in first_index.items():
-        aggs += [F.sum(f).alias(f), F.sum(F.least("c", F.lit(i))).alias(f"__{f}")]
-    one = sizes.agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("populated"), F.col(f"__{f}").alias("warm_up"), (F.col("total") - F.col(f) - F.col(f"__{f}")).alias("other_nulls")) for f in first_index])
-    return one.select(F.inline(cells))
-
-
-def model_inputs(rows: DataFrame, features: list[str], allowed: set[str], on, ready: DataFrame, limit: int = 25_000) -> DataFrame:
-    """Rows of one date for ready listings with allowed features; nothing if there are more than ``limit``."""
-    unknown = [f for f in features if f not in allowed]
-    if unknown:
-        raise ValueError(f"unknown features {unknown}")
-    chosen = rows.where(F.col("trading_date") == on).join(ready.where("ready").select("listing"), "listing", "left_semi").select("listing", "trading_date", *features)
-    if chosen.limit(limit + 1).count() > limit:
-        return chosen.limit(0)
-    return chosen
+    aggs = [F.count("*").alias("__rows"), F.count(F.when(~F.col("supported"), 1)).alias("__unsupported")]
+    for f, n in minimum.items():
+        early = F.col("history_count") < n
+        aggs += [F.count(f).alias(f), F.count(F.when(early & F.col("supported") if f in benchmark else early, 1)).alias(f"__{f}_early")]
+        if f in guaranteed:
+            aggs.append(F.count(F.when(F.col(f).isNull() & ~early, 1)).alias(f"__{f}_lost"))
+    one, total, zero, cells = rows.agg(*aggs), F.col("__rows"), F.lit(0).cast("long"), []
+    for f in minimum:
+        unsupported = F.col("__unsupported") if f in benchmark else zero
+        lost = F.col(f"__{f}_lost") if f in guaranteed else zero
+        nulls, early = total - F.col(f), F.col(f"__{f}_early")
+        named = {"populated": F.col(f), "nulls": nulls, "warm_up": early, "dependency": nulls - early - unsupported - lost, "unsupported": unsupported, "unexpected": lost}
+        cells.append(F.struct(F.lit(f).alias("feature"), total.alias("eligible"), *[c.alias(name) for name, c in named.items()]))
+    return one.select(F.inline(F.array(*cells)))
 
 
 def top_and_other(rows: DataFrame, code: str, n: int) -> DataFrame:

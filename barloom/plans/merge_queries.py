@@ -76,7 +76,10 @@ def quote_reconcile(spark, sf_dir):
 
 def bar_validate(spark, sf_dir):
     b = _bars(spark, sf_dir)
-    broken = b.withColumn("high", F.when(F.col("k") % 17 == 0, F.col("low") - 1).otherwise(F.col("high"))).withColumn("volume", F.when(F.col("k") % 19 == 0, F.lit(-1.0)).otherwise(F.col("volume")))
+    broken = b.withColumn("high", F.when(F.col("k") % 17 == 0, F.col("low") - 1).otherwise(F.col("high")))
+    broken = broken.withColumn("volume", F.when(F.col("k") % 19 == 0, F.lit(-1.0)).otherwise(F.col("volume")))
+    wild = F.when(F.col("k") % 41 == 0, float("nan")).when(F.col("k") % 43 == 0, float("inf")).otherwise(F.col("open"))
+    broken = broken.withColumn("open", wild)
     return merge.bar_violations(broken).select(*KEY, "violations")
 
 
@@ -151,19 +154,6 @@ def state_comparison(spark, sf_dir):
     return planning.state_comparison(_bars(spark, sf_dir).select(*RAW), _payload(spark, sf_dir), "v1")
 
 
-def affected_ranges(spark, sf_dir):
-    return planning.affected_ranges(state_comparison(spark, sf_dir))
-
-
-def _readiness(spark, sf_dir):
-    rows = coverage.listing_coverage(adapters.listings(spark, sf_dir), adapters.bars(spark, sf_dir).where("listing % 9 <> 4 AND NOT (listing % 5 = 1 AND trading_date >= '2001-07-01')"))
-    return planning.readiness(rows, F.lit("2001-08-02").cast("date"), 520)
-
-
-def source_readiness(spark, sf_dir):
-    return _readiness(spark, sf_dir)
-
-
 def _slots(spark, sf_dir):
     f = _sma(_bars(spark, sf_dir).select(*RAW))
     member = adapters.listings(spark, sf_dir).where("listing <> 7").select("listing", F.when(F.col("listing") % 3 == 0, "B").otherwise("A").alias("slot"))
@@ -202,22 +192,6 @@ def history_coverage(spark, sf_dir):
     return adapters.raw_bars(spark, sf_dir).groupBy("listing").agg((F.floor(F.count("*") / 50) * 50).alias("history")).groupBy("history").agg(F.count("*").alias("listings"))
 
 
-FIRST = {"return_1d_pct": 1, "return_252d_pct": 252, "sma_20": 19, "sma_200": 199, "hh_252": 251, "volume_avg_20": 19}
-FAMILY = {"return_1d_pct": "returns", "return_252d_pct": "returns", "sma_20": "averages", "sma_200": "averages", "hh_252": "ranges", "volume_avg_20": "volume"}
-
-
-def feature_coverage(spark, sf_dir):
-    rows = adapters.bars(spark, sf_dir)
-    for step in (ti.returns, ti.sma, ti.ranges, ti.bar_structure, ti.volumes):
-        rows = step(rows)
-    return planning.feature_counts(rows, FIRST)
-
-
-def family_coverage(spark, sf_dir):
-    family = F.element_at(F.create_map(*[F.lit(x) for kv in FAMILY.items() for x in kv]), F.col("feature"))
-    return feature_coverage(spark, sf_dir).groupBy(family.alias("family")).agg(F.count("*").alias("features"), F.sum("populated").alias("populated"), F.sum("other_nulls").alias("other_nulls"))
-
-
 def dimension_coverage(spark, sf_dir):
     b = adapters.bars(spark, sf_dir)
     parts = [b.groupBy(value.alias("value")).agg(F.count("*").alias("rows"), F.count_distinct("listing").alias("listings")).withColumn("dimension", F.lit(name)) for name, value in (("market", F.col("market")), ("ticker", F.col("ticker")), ("year", F.year("trading_date").cast("string")))]
@@ -230,21 +204,14 @@ def report_summary(spark, sf_dir):
     return a.crossJoin(F.broadcast(cov.agg(F.count("*").alias("listings"), F.max("rows").alias("longest"))))
 
 
-def model_inputs(spark, sf_dir):
-    b = ti.sma(ti.returns(adapters.bars(spark, sf_dir)))
-    features = ["return_1d_pct", "sma_20"]
-    out = planning.model_inputs(b, features, set(FIRST), F.lit("1996-03-05").cast("date"), _readiness(spark, sf_dir))
-    return out.select("listing", "trading_date", F.round("return_1d_pct", 8).alias("return_1d_pct"), F.round("sma_20", 6).alias("sma_20"))
-
-
 def top_n_other(spark, sf_dir):
     return planning.top_and_other(adapters.table(spark, sf_dir, "part"), "p_brand", 8)
 
 
 QUERIES = {f.__name__: f for f in (
     bar_compare, source_copy_drift, bar_derived, bar_upsert, recon_summary, dup_classify, symbol_merge, quote_reconcile, bar_validate, feature_merge, float_equiv, insert_absent, listing_upsert,
-    object_upsert, latest_per_key, latest_run, keyset_page, scd2_history, state_comparison, affected_ranges, source_readiness, published_view, published_coverage, published_freshness, slot_selection,
-    candidate_image_check, feature_ranking, history_count, history_coverage, feature_coverage, family_coverage, dimension_coverage, report_summary, model_inputs, top_n_other,
+    object_upsert, latest_per_key, latest_run, keyset_page, scd2_history, state_comparison, published_view, published_coverage, published_freshness, slot_selection,
+    candidate_image_check, feature_ranking, history_count, history_coverage, dimension_coverage, report_summary, top_n_other,
 )}
 
 _F = ", ".join(merge.BAR_FIELDS)
@@ -252,7 +219,7 @@ _BASE = f"""WITH {BARS_SQL}, k AS (SELECT listing, trading_date, {_F}, listing *
 stored AS (SELECT * EXCLUDE k FROM k WHERE k % 7 <> 0),
 incoming AS (SELECT listing, trading_date, open, high, low, CASE WHEN k % 11 = 0 THEN high ELSE close END AS close, volume FROM k WHERE k % 13 <> 0)"""
 _NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN i.{f} IS DISTINCT FROM s.{f} THEN '{f}' END" for f in merge.BAR_FIELDS) + ")"
-_CMP = f"{_BASE}, cmp AS (SELECT i.listing, i.trading_date, CASE WHEN s.close IS NULL THEN 'INSERTED' WHEN {_NAMES} <> '' THEN 'CORRECTED' ELSE 'UNCHANGED' END AS kind, CASE WHEN s.close IS NULL THEN '' ELSE {_NAMES} END AS differing FROM incoming i LEFT JOIN stored s USING (listing, trading_date))"
+_CMP = f"{_BASE}, cmp AS (SELECT i.listing, i.trading_date, CASE WHEN s.there IS NULL THEN 'INSERTED' WHEN {_NAMES} <> '' THEN 'CORRECTED' ELSE 'UNCHANGED' END AS kind, CASE WHEN s.there IS NULL THEN '' ELSE {_NAMES} END AS differing FROM incoming i LEFT JOIN (SELECT *, true AS there FROM stored) s USING (listing, trading_date))"
 _DER = ", ".join([
     "round(close - lag(close) OVER w, 8) AS change", "round((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0), 8) AS changepct",
     "round((high + low + close) / 3, 8) AS typ", "round(high - low, 8) AS hl_range", "round(close - open, 8) AS oc_range",
@@ -271,27 +238,13 @@ _STATE = f"""{_BASE}, n AS (SELECT *, row_number() OVER (PARTITION BY listing OR
 payload AS (SELECT listing, trading_date, open, CASE WHEN k % 29 = 0 THEN high + 1 ELSE high END AS high, low, close, volume, CASE WHEN listing = 5 AND n > 50 THEN n + 1 ELSE n END AS history_count, CASE WHEN listing % 8 = 0 THEN 'v0' ELSE 'v1' END AS version
   FROM n WHERE k % 23 <> 0 AND trading_date < DATE '1998-06-01' AND listing <> 24),
 tail AS (SELECT listing, max(trading_date) AS payload_last FROM payload GROUP BY 1),
-flags AS (SELECT n.listing, n.trading_date, p.version IS NULL AND (payload_last IS NULL OR n.trading_date > payload_last) AS tail_append, coalesce(p.version IS NULL AND n.trading_date <= payload_last, false) AS missing,
+flags AS (SELECT n.listing, n.trading_date, payload_last, p.version IS NULL AND (payload_last IS NULL OR n.trading_date > payload_last) AS tail_append, coalesce(p.version IS NULL AND n.trading_date <= payload_last, false) AS missing,
   p.version IS NOT NULL AND (n.open, n.high, n.low, n.close, n.volume) IS DISTINCT FROM (p.open, p.high, p.low, p.close, p.volume) AS source_drift, coalesce(p.version IS NOT NULL AND history_count <> n, false) AS history_drift, coalesce(version <> 'v1', false) AS version_drift
   FROM n LEFT JOIN payload p USING (listing, trading_date) LEFT JOIN tail USING (listing)),
-state AS (SELECT listing, count(*) AS source_bars, max(trading_date) AS source_last, """ + ", ".join(f"count(*) FILTER ({r}) AS {r}, min(trading_date) FILTER ({r}) AS {r}_from" for r in planning.REASONS) + " FROM flags GROUP BY 1)"
-_READY = f"""WITH {BARS_SQL}, cov AS (SELECT l.listing, count(trading_date) AS bars, max(trading_date) AS last_date FROM listings l LEFT JOIN raw_bars b ON b.listing = l.listing AND b.listing % 9 <> 4 AND NOT (b.listing % 5 = 1 AND trading_date >= DATE '2001-07-01') GROUP BY 1),
-ready0 AS (SELECT listing, concat_ws(',', CASE WHEN bars = 0 THEN 'NO_BARS' END, CASE WHEN bars > 0 AND bars < 520 THEN 'SHORT_HISTORY' END, CASE WHEN last_date < DATE '2001-07-26' THEN 'STALE' END, CASE WHEN last_date > DATE '2001-08-02' THEN 'FUTURE' END) AS reasons FROM cov),
-ready AS (SELECT *, reasons = '' AS ready FROM ready0)"""
+state AS (SELECT listing, count(*) AS source_bars, min(trading_date) AS source_first, max(trading_date) AS source_last, max(payload_last) AS payload_last, """ + ", ".join(f"count(*) FILTER ({r}) AS {r}, min(trading_date) FILTER ({r}) AS {r}_from" for r in planning.COMPARED) + " FROM flags GROUP BY 1)"
 _PUB = f"""{_BASE}, {_SMA}, member AS (SELECT listing, CASE WHEN listing % 3 = 0 THEN 'B' ELSE 'A' END AS slot FROM listings WHERE listing <> 7),
 pub AS (SELECT listing, trading_date, slot, sma_20, close FROM (SELECT listing, trading_date, 'A' AS slot, sma_20, close FROM sma WHERE listing % 4 <> 1 UNION ALL SELECT listing, trading_date, 'B', sma_20, close + 1 FROM sma WHERE listing % 4 <> 2) JOIN member USING (listing, slot)),
 cover AS (SELECT listing, count(*) AS rows, count(sma_20) AS populated, min(trading_date) AS first_date, max(trading_date) AS last_date, string_agg(DISTINCT slot, ',') AS slots FROM pub GROUP BY 1)"""
-_ROLL = "OVER (PARTITION BY listing ORDER BY trading_date ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
-
-
-def _roll(fn, col, n):
-    w = _ROLL.format(n=n - 1)
-    return f"CASE WHEN count({col}) {w} = {n} THEN {fn}({col}) {w} END"
-
-
-_FEAT = f"""WITH {BARS_SQL}, f AS (SELECT *, close / nullif(lag(close, 1) OVER w, 0) - 1 AS return_1d_pct, close / nullif(lag(close, 252) OVER w, 0) - 1 AS return_252d_pct, {_roll('avg', 'close', 20)} AS sma_20, {_roll('avg', 'close', 200)} AS sma_200,
-{_roll('max', 'high', 252)} AS hh_252, {_roll('avg', 'volume', 20)} AS volume_avg_20 FROM bars {_WIN}), s AS (SELECT listing, count(*) AS c, """ + ", ".join(f"count({x}) AS {x}" for x in FIRST) + " FROM f GROUP BY 1), fc AS (" + " UNION ALL ".join(f"SELECT '{x}' AS feature, CAST(sum({x}) AS BIGINT) AS populated, CAST(sum(least(c, {i})) AS BIGINT) AS warm_up, CAST(sum(c) - sum({x}) - sum(least(c, {i})) AS BIGINT) AS other_nulls FROM s" for x, i in FIRST.items()) + ")"
-
 SQL = {
     "bar_compare": f"{_CMP} SELECT * FROM cmp",
     "source_copy_drift": f"{_BASE} SELECT listing, count(*) AS drifted, min(trading_date) AS since FROM incoming i JOIN stored s USING (listing, trading_date) WHERE {_NAMES} <> '' GROUP BY 1",
@@ -303,8 +256,8 @@ SQL = {
     "symbol_merge": """WITH p AS (SELECT p_partkey % 500 AS code, nullif(trim(p_brand), '') AS b, nullif(trim(CASE WHEN p_size > 25 THEN p_type ELSE '  ' END), '') AS t FROM part)
         SELECT code, CASE WHEN count(DISTINCT b) <= 1 THEN min(b) END AS p_brand, CASE WHEN count(DISTINCT t) <= 1 THEN min(t) END AS p_type, concat_ws(',', CASE WHEN count(DISTINCT b) > 1 THEN 'p_brand' END, CASE WHEN count(DISTINCT t) > 1 THEN 'p_type' END) AS conflicts FROM p GROUP BY 1""",
     "quote_reconcile": "WITH o AS (SELECT DISTINCT o_custkey AS k, 1 AS e FROM orders WHERE o_custkey % 3 <> 0), c AS (SELECT c_custkey AS k, 1 AS f FROM customer WHERE c_custkey % 5 <> 0) SELECT count(*) FILTER (e = 1 AND f = 1) AS \"both\", count(*) FILTER (f IS NULL) AS only_expected, count(*) FILTER (e IS NULL) AS only_found FROM o FULL JOIN c USING (k)",
-    "bar_validate": f"""{_BASE}, b AS (SELECT listing, trading_date, open, CASE WHEN k % 17 = 0 THEN low - 1 ELSE high END AS high, low, close, CASE WHEN k % 19 = 0 THEN -1 ELSE volume END AS volume FROM k),
-        v AS (SELECT listing, trading_date, concat_ws(',', CASE WHEN high < low OR high < open OR high < close THEN 'high_below' END, CASE WHEN low > open OR low > close THEN 'low_above' END, CASE WHEN volume < 0 THEN 'negative_volume' END) AS violations FROM b) SELECT * FROM v WHERE violations <> ''""",
+    "bar_validate": f"""{_BASE}, b AS (SELECT listing, trading_date, CASE WHEN k % 41 = 0 THEN 'nan'::DOUBLE WHEN k % 43 = 0 THEN 'inf'::DOUBLE ELSE open END AS open, CASE WHEN k % 17 = 0 THEN low - 1 ELSE high END AS high, low, close, CASE WHEN k % 19 = 0 THEN -1 ELSE volume END AS volume FROM k),
+        v AS (SELECT listing, trading_date, CASE WHEN NOT isfinite(open) THEN 'not_finite' ELSE concat_ws(',', CASE WHEN high < low OR high < open OR high < close THEN 'high_below' END, CASE WHEN low > open OR low > close THEN 'low_above' END, CASE WHEN volume < 0 THEN 'negative_volume' END) END AS violations FROM b) SELECT * FROM v WHERE violations <> ''""",
     "feature_merge": f"""{_FM}, j AS (SELECT listing, trading_date, i.sma_20 AS ia, i.close AS ic, s.sma_20 AS sa, s.close AS sc, CASE WHEN i.close IS NULL THEN 'KEEP' WHEN s.close IS NULL THEN 'INSERT' WHEN {_eq('i.sma_20', 's.sma_20')} AND {_eq('i.close', 's.close')} THEN 'UNCHANGED' ELSE 'UPDATE' END AS kind FROM fi i FULL JOIN fs s USING (listing, trading_date))
         SELECT listing, trading_date, round(CASE WHEN kind IN ('INSERT', 'UPDATE') THEN ia ELSE sa END, 5) AS sma_20, CASE WHEN kind IN ('INSERT', 'UPDATE') THEN ic ELSE sc END AS close, kind FROM j""",
     "float_equiv": f"{_FM} SELECT listing, trading_date, {_eq('i.sma_20', 's.sma_20')} AS same_sma, {_eq('i.close', 's.close')} AS same_close FROM fi i JOIN fs s USING (listing, trading_date)",
@@ -317,8 +270,6 @@ SQL = {
     "keyset_page": f"WITH {BARS_SQL} SELECT listing, trading_date, close FROM raw_bars WHERE (listing, trading_date) > (3, DATE '1995-06-30') ORDER BY listing, trading_date LIMIT 500",
     "scd2_history": "WITH c AS (SELECT user_id, event_type, event_id FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) WHERE b IS DISTINCT FROM event_type) SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to FROM c",
     "state_comparison": f"{_STATE} SELECT * FROM state",
-    "affected_ranges": f"{_STATE} SELECT listing, least(" + ", ".join(f"{r}_from" for r in planning.REASONS) + ") AS write_start, source_last AS write_end, concat_ws(',', " + ", ".join(f"CASE WHEN {r} > 0 THEN '{r}' END" for r in planning.REASONS) + ") AS reasons FROM state WHERE write_start IS NOT NULL",
-    "source_readiness": f"{_READY} SELECT * FROM ready",
     "published_view": f"{_PUB} SELECT * FROM pub",
     "published_coverage": f"{_PUB} SELECT * FROM cover",
     "published_freshness": f"{_PUB} SELECT slot, max(trading_date) AS last_date, count(DISTINCT listing) AS listings FROM pub WHERE trading_date <= DATE '1997-06-30' GROUP BY 1",
@@ -327,10 +278,7 @@ SQL = {
     "feature_ranking": f"{_BASE}, {_SMA} SELECT listing, trading_date, sma_20 AS value FROM sma ORDER BY value DESC NULLS LAST, listing, trading_date LIMIT 12",
     "history_count": f"WITH {BARS_SQL} SELECT listing, trading_date, CAST(row_number() OVER (PARTITION BY listing ORDER BY trading_date) AS INTEGER) AS history_count FROM raw_bars",
     "history_coverage": f"WITH {BARS_SQL}, c AS (SELECT listing, CAST(count(*) // 50 * 50 AS BIGINT) AS history FROM raw_bars GROUP BY 1) SELECT history, count(*) AS listings FROM c GROUP BY 1",
-    "feature_coverage": f"{_FEAT} SELECT * FROM fc",
-    "family_coverage": f"{_FEAT} SELECT CASE " + " ".join(f"WHEN feature = '{x}' THEN '{v}'" for x, v in FAMILY.items()) + " END AS family, count(*) AS features, CAST(sum(populated) AS BIGINT) AS populated, CAST(sum(other_nulls) AS BIGINT) AS other_nulls FROM fc GROUP BY 1",
     "dimension_coverage": f"WITH {BARS_SQL} SELECT market AS value, count(*) AS rows, count(DISTINCT listing) AS listings, 'market' AS dimension FROM bars GROUP BY 1 UNION ALL SELECT ticker, count(*), count(DISTINCT listing), 'ticker' FROM bars GROUP BY 1 UNION ALL SELECT CAST(year(trading_date) AS VARCHAR), count(*), count(DISTINCT listing), 'year' FROM bars GROUP BY 1",
     "report_summary": f"{_PUB} SELECT count(*) AS rows, count(sma_20) AS populated, min(trading_date) AS first_date, max(trading_date) AS last_date, (SELECT count(*) FROM cover) AS listings, (SELECT max(rows) FROM cover) AS longest FROM pub",
-    "model_inputs": f"{_READY}, f AS (SELECT listing, trading_date, close / nullif(lag(close) OVER (PARTITION BY listing ORDER BY trading_date), 0) - 1 AS r, {_roll('avg', 'close', 20)} AS s FROM bars) SELECT listing, trading_date, round(r, 8) AS return_1d_pct, round(s, 6) AS sma_20 FROM f SEMI JOIN (SELECT listing FROM ready WHERE ready) USING (listing) WHERE trading_date = DATE '1996-03-05'",
     "top_n_other": "WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1), k AS (SELECT p_brand FROM c ORDER BY n DESC, p_brand LIMIT 8) SELECT CASE WHEN p_brand IN (SELECT p_brand FROM k) THEN p_brand ELSE 'OTHER' END AS p_brand, CAST(sum(n) AS BIGINT) AS count FROM c GROUP BY 1",
 }
