@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PLANS = ("feature_queries", "report_queries", "merge_queries", "entity_queries")
+PLANS = ("feature_queries", "report_queries", "merge_queries", "planning_queries", "entity_queries", "source_queries")
 
 
 def _plans():

@@ -1,6 +1,7 @@
 import json
 import zipfile
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -31,7 +32,8 @@ def test_quotes_split_into_good_and_rejected(spark, file):
 
 def test_symbols_ignore_numeric_types(spark, file):
     rows = providers.read_symbols(spark, file("s.json", [{"code": "A", "name": " ", "type": 7, "currency": "USD"}, {"code": "B", "name": "b", "type": "EQUITY"}])).collect()
-    assert [tuple(r) for r in rows] == [("A", None, None, "USD"), ("B", "b", "EQUITY", None)]
+    assert [tuple(r) for r in rows] == [("A", None, None, "USD", ""), ("B", "b", "EQUITY", None, "")]
+    assert [r.reasons for r in providers.read_symbols(spark, file("t.json", [{"code": " "}])).collect()] == ["code"]
 
 
 def test_chart_dates_are_of_the_declared_zone(spark, file):
@@ -42,12 +44,22 @@ def test_chart_dates_are_of_the_declared_zone(spark, file):
     assert {r.reasons for r in providers.read_chart(spark, file("c.json", body), "UTC").collect()} == {"time_zone"}
 
 
+def test_chart_payloads_that_are_rejected_whole(spark, file):
+    arrays = {k: [1.0, 2.0] for k in ("open", "high", "low", "close", "volume")}
+    result = lambda quote: {"meta": {"symbol": "S", "exchangeTimezoneName": "UTC"}, "timestamp": [0, 86400], "indicators": {"quote": [quote]}}
+    bodies = {"none": {"chart": {"result": None, "error": {"code": "x"}}}, "short": {"chart": {"result": [result(arrays | {"close": [1.0]})]}}, "good": {"chart": {"result": [result(arrays)]}}}
+    found = {name: [r.reasons for r in providers.read_chart(spark, file(f"{name}.json", body), "UTC").collect()] for name, body in bodies.items()}
+    assert found == {"none": ["payload"], "short": ["shape"], "good": ["", ""]}
+
+
 HEADER = "<TICKER>,<PER>,<DATE>,<TIME>,<OPEN>,<HIGH>,<LOW>,<CLOSE>,<VOL>,<OPENINT>\n"
-LINES = HEADER + "A.US,D,20260102,000000,1,2,1,1.5,10.5,0\nB.US,D,20261302,000000,1,2,1,1.5,10,0\nC.US,D,20260102,000000, 1,2,1,1.5,10,0\n"
+LINES = HEADER + "A.US,D,20260102,000000,1,2,1,1.5,10.5,0\nB.US,D,20261302,000000,1,2,1,1.5,10,0\nC.US,D,20260102,000000, 1,2,1,1.5,10,0\nD.US,D,20260102,000000,1,2,1,1.5,10,0,extra\nE.US,D\n"
 
 
 def test_history_csv_and_zip_agree(spark, file, tmp_path):
-    csv = providers.read_history_csv(spark, file("nasdaq/a.txt", LINES))
+    file("nasdaq/b.txt", "wrong\n1\n")
+    csv = providers.read_history_csv(spark, str(Path(file("nasdaq/a.txt", LINES)).parent))
+    assert csv.where("reasons = 'member'").count() == 1
     path = tmp_path / "h.zip"
     with zipfile.ZipFile(path, "w") as z:
         z.writestr("data/nasdaq/a.txt", LINES)
@@ -55,7 +67,7 @@ def test_history_csv_and_zip_agree(spark, file, tmp_path):
         z.writestr("../evil.txt", LINES)
     zipped = providers.read_history_zip(spark, str(path))
     keep = lambda df: sorted((r.market, r.ticker or "", str(r.trading_date), str(r.volume), r.reasons) for r in df.where("reasons <> 'member'").collect())
-    assert keep(csv) == keep(zipped) == sorted([("nasdaq", "A.US", "2026-01-02", "10.50000000", ""), ("nasdaq", "B.US", "None", "10.00000000", "date"), ("nasdaq", "C.US", "2026-01-02", "10.00000000", "price")])
+    assert keep(csv) == keep(zipped) == sorted([("nasdaq", "A.US", "2026-01-02", "10.50000000", ""), ("nasdaq", "B.US", "None", "10.00000000", "date"), ("nasdaq", "C.US", "2026-01-02", "10.00000000", "price"), ("nasdaq", "D.US", "2026-01-02", "10.00000000", "fields"), ("nasdaq", "E.US", "None", "None", "fields,date,price")])
     assert zipped.where("reasons = 'member'").count() == 2
 
 
@@ -63,4 +75,6 @@ def test_positional_and_keyed_json(spark, file):
     rows = providers.read_fields_data(spark, file("f.json", {"fields": ["cik", "name"], "data": [[1, "x"], [2, None]]})).orderBy("n").collect()
     assert [r.row for r in rows] == [{"cik": "1", "name": "x"}, {"cik": "2", "name": None}]
     rows = providers.read_keyed_objects(spark, file("k.json", {"0": {"cik_str": 5, "ticker": "T", "title": "t"}, "1": {"cik_str": "6", "title": "u"}})).orderBy("n").collect()
-    assert [tuple(r) for r in rows] == [(0, "5", "T", "t"), (1, "6", None, "u")]
+    assert [tuple(r) for r in rows] == [(0, "5", "T", "t", ""), (1, "6", None, "u", "")]
+    short = providers.read_fields_data(spark, file("g.json", {"fields": ["cik", "name"], "data": [[1], [2, "y"], [3, "z", 4]]})).orderBy("n").collect()
+    assert [(r.row, r.reasons) for r in short] == [(None, "fields"), ({"cik": "2", "name": "y"}, ""), (None, "fields")]
