@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, store
 
 
 def local_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -35,9 +35,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     small-star step; minima are combined before the shuffle and joined back, so
     that a hub's edges are split by the skew join and never meet in one task.
     Rounds end when a round changes no edge; every round's edges are written to
-    the shared folder.  Rows with a null end or two equal ends are ignored.  An
-    edge table without rows gives no rows.
+    the shared folder, and those of the round before are deleted then.  Rows
+    with a null end or two equal ends are ignored.  An edge table without rows
+    gives no rows.
     """
+    spark = edges.sparkSession
 
     def tidy(df: DataFrame) -> DataFrame:
         return df.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -54,7 +56,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
 
-    now = materialize(tidy(edges.select("a", "b")), "edges")
+    def stored(df: DataFrame) -> tuple[DataFrame, str]:
+        path = store(df, "edges")
+        return spark.read.schema(df.schema).parquet(path), path
+
+    now, at = stored(tidy(edges.select("a", "b")))
     seen = state(now)
     for _ in range(max_rounds):
         if not seen[0]:
@@ -62,7 +68,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = star(both, larger_only=True)
         small = star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), larger_only=False)
-        now = materialize(small, "edges")
+        before = at
+        now, at = stored(small)
+        discard(spark, before)
         if (after := state(now)) == seen:
             break
         seen = after

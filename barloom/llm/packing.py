@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_texts, materialize
+from .common import batch_texts, map_batches, materialize
 from .wordbpe import END_ID, worker_encoder
 
 CAPACITY = 4096
@@ -179,7 +179,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None
             yield pa.RecordBatch.from_arrays(made, ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def ranked(found: DataFrame) -> DataFrame:
@@ -222,11 +222,16 @@ def place(found: DataFrame, plan: np.ndarray) -> DataFrame:
                 continue
             at, inside, size, sequence, offset = (np.concatenate(x) for x in zip(*out))
             taken = batch.take(pa.array(at))
-            made = [taken.column("doc_id"), pa.array(start[at] + inside), pa.array(size), taken.column("ids_crc32"), taken.column("doc_tokens"), pa.array(sequence), pa.array(offset), taken.column("start"), taken.column("length")]
-            yield pa.RecordBatch.from_arrays(made, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "piece_start", "piece_length"])
+            made = [
+                taken.column("doc_id"), pa.array(start[at] + inside), pa.array(size), taken.column("ids_crc32"), taken.column("doc_tokens"),
+                pa.array(sequence), pa.array(offset), taken.column("start"), taken.column("length"),
+            ]
+            yield pa.RecordBatch.from_arrays(made, names)
 
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "piece_start", "piece_length"]
     kind = found.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, piece_start long, piece_length long")
+    rows = found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank")
+    return map_batches(rows, run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names[1:]))
 
 
 def _cut_checksums(docs: DataFrame, cut: DataFrame, tokenizer_path: str | None, end_id: int) -> DataFrame:
@@ -251,7 +256,7 @@ def _cut_checksums(docs: DataFrame, cut: DataFrame, tokenizer_path: str | None,
             yield pa.RecordBatch.from_arrays([taken.column(n) for n in ("doc_id", *keys)] + [pa.array(crcs, pa.int64())], ["id", *keys, "part_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(run, f"id {kind}, " + ", ".join(f"{k} long" for k in keys) + ", part_crc32 long").distinct()
+    return map_batches(both, run, f"id {kind}, " + ", ".join(f"{k} long" for k in keys) + ", part_crc32 long").distinct()
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -262,7 +267,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None =
     ``capacity`` ids, are numbered from 0 and have no gap; all but the last few,
     whose sizes are powers of two, are full.  Rows that repeat an id are
     documents of their own.  No documents give no rows.  Other columns of
-    ``docs`` are ignored.
+    ``docs`` are ignored.  A task holds the ids of one text at a time, however
+    long it is.
     """
     found = materialize(pieces(docs, capacity, tokenizer_path, end_id), "pieces")
     histogram = {r[0]: r[1] for r in found.groupBy("length").count().collect()}  # at most ``capacity`` rows

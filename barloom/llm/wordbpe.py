@@ -1,13 +1,15 @@
 """Whole-text encoding with a tokenizer whose pieces never cross spaces.
 
-The vocabulary file drops white space before merging, so a text's ids are the
-ids of its space- and newline-separated chunks in order.  Chunks repeat much
-more than texts do; a bounded cache keeps their ids as little-endian bytes.  The
-cache stays with a Python worker from task to task.
+The default vocabulary file drops white space before merging, so a text's ids
+are the ids of its space- and newline-separated chunks in order.  Chunks repeat
+much more than texts do; a bounded cache keeps their ids as little-endian bytes.
+The cache stays with a Python worker from task to task.  A file that normalises
+or splits texts in another way is taken as it is: each text is encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -16,10 +18,22 @@ from itertools import islice
 from .common import single_threaded
 
 #: Chunks that the cache holds; when it is full, all but the first KEPT_CHUNKS go: frequent chunks come early.
-CACHE_CHUNKS = 200_000
-KEPT_CHUNKS = 60_000
-#: Characters of text whose chunks are looked up at once.
-BLOCK_CHARS = 2_000_000
+CACHE_CHUNKS = 100_000
+KEPT_CHUNKS = 40_000
+#: Longer chunks aren't kept.
+CACHED_CHARS = 64
+#: Characters of text whose chunks are looked up at once, unless one text has more.
+BLOCK_CHARS = 500_000
+#: How the default file normalises and splits texts.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Chunks whose case folding and splitting are plain: Latin letters, then marks that don't start a contraction.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\s\w']*)")
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
@@ -40,6 +54,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
+        parts = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.by_chunks = [p and json.loads(p.__getstate__()) for p in parts] == [NORMALIZER, PRE_TOKENIZER]
         self.cache_chunks, self.kept_chunks = cache_chunks, kept_chunks
         self.known: dict[str, bytes] = {"": b""}
         self.runs: dict[str, bytes] = {"": b""}  # ids of letter runs and of mark runs
@@ -53,7 +69,9 @@ class WordEncoder:
         got = self.runs.get(run)
         if got is None:
             word = run if run.isascii() else "".join(self.letter[b] for b in run.encode("utf-8", "surrogatepass"))
-            got = self.runs[run] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+            got = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+            if len(run) <= CACHED_CHARS:
+                self.runs[run] = got
         return got
 
     def _learn(self, chunks: set[str]) -> None:
@@ -63,7 +81,7 @@ class WordEncoder:
             missing = list(chunks.difference(self.known))
         if len(self.runs) > self.cache_chunks:
             self.runs = dict(islice(self.runs.items(), self.kept_chunks))
-        special = []
+        special, self.long = [], [chunk for chunk in missing if len(chunk) > CACHED_CHARS]
         for chunk in missing:
             plain = _PLAIN.fullmatch(chunk)
             if plain and "<" not in chunk and plain[2].isascii():
@@ -76,6 +94,10 @@ class WordEncoder:
                 self.known[chunk] = array("I", got.ids).tobytes()
 
     def ids_of(self, texts: list[str | None]) -> Iterator[bytes]:
+        if not self.by_chunks:
+            for text in texts:
+                yield array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes()
+            return
         at = 0
         while at < len(texts):
             block, size = [], 0
@@ -88,6 +110,8 @@ class WordEncoder:
             get = self.known.__getitem__
             for chunks in block:
                 yield b"".join(map(get, chunks))
+            for chunk in self.long:
+                del self.known[chunk]
 
     def ids(self, text: str | None) -> bytes:
         return next(self.ids_of([text]))

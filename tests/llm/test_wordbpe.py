@@ -29,3 +29,20 @@ def test_same_ids_as_the_tokenizer(both, text):
 
 def test_null_and_empty(both):
     assert both[0].ids(None) == b"" == both[0].ids("")
+
+
+def test_other_vocabularies_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = WordEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_chunks and WordEncoder().by_chunks
+    for text in ("The quick  brown\nfox", "", "naïve 日本"):
+        assert np.frombuffer(encoder.ids(text), np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_chunks_are_not_kept(both):
+    encoder = WordEncoder()
+    list(encoder.ids_of(["x" * 5000 + " y", "z" * 100]))
+    assert max(map(len, encoder.known)) <= 64 and max(map(len, encoder.runs)) <= 64
