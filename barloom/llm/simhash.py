@@ -7,24 +7,29 @@ half the radius (2,081 variants of 64 bits for radius 4) and equal variants
 link.  A ball is shuffled by the leading bits of its variants: a fingerprint is
 sent once to each of the 137 leading 16-bit values that its ball has, and the
 receiving task writes out the variants with that value.  No variant is left
-out; only their transport is shared.
+out; only their transport is shared.  Leading values that too many fingerprints
+share are replaced by longer ones, 16 bits at a time, up to whole variants.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import field_types, map_batches, materialize
 from .components import connected_components, local_roots
 
 BITS = 64
 #: Variants that a task holds at once.
-BLOCK_VARIANTS = 4_000_000
+BLOCK_VARIANTS = 2_000_000
+#: Leading bits of variants that are shuffled by; a value with more than HOT_ROWS fingerprints takes STEP more.
+STEP = 16
+HOT_ROWS = 1_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -62,16 +67,21 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the signed 64-bit fingerprint of each whole text."""
+    """(doc_id, fp): the signed 64-bit fingerprint of each whole text; a text's hashes are in memory at once."""
+    return with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, seed).drop("text")
+
+
+def with_fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """``rows`` without their ``text``, with ``fp``."""
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             fps = np.fromiter((majority(shingle_hashes(t, width, seed)) if t else 0 for t in texts), np.int64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps)], [*kept, "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, fp long")
+    return map_batches(rows, run, f"{field_types(rows, kept)}, fp long")
 
 
 def ball_masks(bits: int, radius: int) -> np.ndarray:
@@ -80,26 +90,20 @@ def ball_masks(bits: int, radius: int) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def _variants(key: np.ndarray, fp: np.ndarray, low_bits: int, radius: int, part: int, parts: int):
+def _variants(key: np.ndarray, fp: np.ndarray, low_bits: int, half: int):
     """(variant, index of its fingerprint) for the variants whose leading bits are ``key``."""
     shift = np.uint64(low_bits)
     used = np.bitwise_count((fp >> shift) ^ key)
-    low = fp & np.uint64((1 << low_bits) - 1)
+    start = (key << shift) | (fp & np.uint64((1 << low_bits) - 1))
     values, owners = [], []
-    for flips in range(radius + 1):
+    for flips in range(half + 1):
         rows = np.flatnonzero(used == flips)
-        masks = ball_masks(low_bits, radius - flips)
+        masks = ball_masks(low_bits, half - flips)
         step = max(1, BLOCK_VARIANTS // len(masks))
         for at in range(0, len(rows), step):
             own = rows[at : at + step]
-            made = ((key[own] << shift) | low[own])[:, None] ^ masks[None, :]
-            made, who = made.ravel(), np.repeat(own, len(masks))
-            if parts > 1:
-                mine = (made * _ODD) >> np.uint64(40)
-                mine = np.flatnonzero(mine % np.uint64(parts) == part)
-                made, who = made[mine], who[mine]
-            values.append(made)
-            owners.append(who)
+            values.append((start[own][:, None] ^ masks[None, :]).ravel())
+            owners.append(np.repeat(own, len(masks)))
     return np.concatenate(values), np.concatenate(owners)
 
 
@@ -119,25 +123,41 @@ def _collisions(values: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.
     return owners[near[:-1][same]], owners[near[1:][same]]
 
 
-def block_links(key: np.ndarray, fp: np.ndarray, low_bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, smallest linked fingerprint) within whole keys.
+def _sizes(low_bits: int, half: int) -> np.ndarray:
+    """Variants of a fingerprint within a key, by the flips that the key takes."""
+    return np.array([sum(comb(low_bits, r) for r in range(half - flips + 1)) for flips in range(half + 1)])
+
 
-    Keys with more variants than a block are done in slices of the variants'
-    hash, so memory is bounded and each group of equal variants stays whole.
+def _key_links(key: np.ndarray, fp: np.ndarray, low_bits: int, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between the fingerprints of whole keys.
+
+    Rows with more variants than a block are done key by key, and then by the
+    next four bits, so that memory is bounded, equal variants stay together, and
+    each variant is made once.
     """
-    half = radius // 2
-    sizes = [len(ball_masks(low_bits, half - r)) for r in range(half + 1)]
-    used = np.bitwise_count((fp >> np.uint64(low_bits)) ^ key)
-    total = sum(int((used == r).sum()) * n for r, n in enumerate(sizes))
-    parts = max(1, -(-total // (4 * BLOCK_VARIANTS)))
-    us, vs = [], []
-    for part in range(parts):
-        u, v = _collisions(*_variants(key, fp, low_bits, half, part, parts))
-        us.append(u)
-        vs.append(v)
-    u, v = np.concatenate(us), np.concatenate(vs)
-    differ = fp[u] != fp[v]
-    u, v = fp[u[differ]].view(np.int64), fp[v[differ]].view(np.int64)
+    total = int(_sizes(low_bits, half)[np.bitwise_count((fp >> np.uint64(low_bits)) ^ key)].sum()) if len(fp) else 0
+    if total <= BLOCK_VARIANTS or low_bits < 4:
+        u, v = _collisions(*_variants(key, fp, low_bits, half))
+        return fp[u], fp[v]
+    edge = np.flatnonzero(np.diff(key)) + 1
+    if len(edge):
+        middle = int(edge[np.argmin(np.abs(edge - len(key) // 2))])
+        parts = [(key[x], fp[x], low_bits) for x in (slice(0, middle), slice(middle, None))]
+    else:
+        parts, shift = [], np.uint64(low_bits - 4)
+        for nibble in range(16):
+            longer = (key << np.uint64(4)) | np.uint64(nibble)
+            near = np.bitwise_count((fp >> shift) ^ longer) <= half
+            parts.append((longer[near], fp[near], low_bits - 4))
+    found = [_key_links(*part, half) for part in parts if len(part[0])]
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def block_links(key: np.ndarray, fp: np.ndarray, low_bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, smallest linked fingerprint) within whole keys; keys are sorted."""
+    u, v = _key_links(key, fp, low_bits, radius // 2)
+    differ = u != v
+    u, v = u[differ].view(np.int64), v[differ].view(np.int64)
     if not len(u):
         return u, v
     if (np.bitwise_count((u ^ v).view(np.uint64)) > radius).any():
@@ -147,17 +167,35 @@ def block_links(key: np.ndarray, fp: np.ndarray, low_bits: int, radius: int) ->
     return nodes[moved], roots[moved]
 
 
-def links(fps: DataFrame, radius: int = 4, prefix_bits: int = 16) -> DataFrame:
-    """Edges (a, b) that connect all distinct ``fp`` within ``radius`` bits.
+def _sent(fps: DataFrame, half: int) -> DataFrame:
+    """(key, used, fp): each leading value of STEP bits in the fingerprint's ball, and the flips that it takes."""
+    masks = F.array(*[F.struct(F.lit(int(m)).cast("long").alias("m"), F.lit(int(m).bit_count()).alias("used")) for m in ball_masks(STEP, half)])
+    rows = fps.select("fp", F.explode(masks).alias("x"))
+    return rows.select(F.shiftrightunsigned("fp", BITS - STEP).bitwiseXOR(F.col("x.m")).alias("key"), F.col("x.used").alias("used"), "fp")
 
-    Transitive closure of the edges is the closure of "differs in at most
-    ``radius`` bits"; an edge itself may join two ends of a chain.  ``radius``
-    is even.
-    """
-    low_bits, half = BITS - prefix_bits, radius // 2
-    top = [int(m) for m in ball_masks(prefix_bits, half)]
-    sent = fps.select("fp").withColumn("key", F.explode(F.array(*[F.lit(m) for m in top])))
-    sent = sent.select(F.shiftrightunsigned("fp", low_bits).bitwiseXOR(F.col("key").cast("long")).cast("int").alias("key"), "fp")
+
+def _refined(rows: DataFrame, low_bits: int, half: int) -> DataFrame:
+    """``rows`` of keys that leave ``low_bits``, sent to all keys of STEP more bits."""
+    masks = F.array(*[F.struct(F.lit(int(m)).cast("long").alias("m"), F.lit(int(m).bit_count()).alias("more")) for m in ball_masks(STEP, half)])
+    rest = low_bits - STEP
+    own = F.shiftrightunsigned("fp", rest).bitwiseAND(F.lit((1 << STEP) - 1))
+    made = rows.select("key", "used", "fp", F.explode(F.filter(masks, lambda x: x["more"] + F.col("used") <= half)).alias("x"))
+    return made.select(F.shiftleft("key", STEP).bitwiseOR(own.bitwiseXOR(F.col("x.m"))).alias("key"), (F.col("used") + F.col("x.more")).alias("used"), "fp")
+
+
+def _hot_prefixes(fps: DataFrame, half: int, hot: int) -> list[int]:
+    """Leading values that more than ``hot`` fingerprints are sent to, from a histogram of 65,536 bins."""
+    found = fps.groupBy(F.shiftrightunsigned("fp", BITS - STEP).alias("top")).agg(F.count("*").alias("n")).collect()
+    own = np.zeros(1 << STEP, np.int64)
+    for row in found:
+        own[row["top"]] = row["n"]
+    at = np.arange(1 << STEP)
+    sent = sum(own[at ^ int(m)] for m in ball_masks(STEP, half))
+    return np.flatnonzero(sent > hot).tolist()
+
+
+def _linked(rows: DataFrame, low_bits: int, radius: int) -> DataFrame:
+    """Edges (a, b) of the fingerprints that meet in equal keys."""
 
     def run(batches):
         held_key, held_fp, rows = [], [], 0
@@ -170,7 +208,7 @@ def links(fps: DataFrame, radius: int = 4, prefix_bits: int = 16) -> DataFrame:
             cut = len(key) if last else int(np.searchsorted(key, key[-1]))
             held_key, held_fp, rows = [key[cut:]], [fp[cut:]], len(key) - cut
             if cut:
-                return block_links(key[:cut].astype(np.uint64), fp[:cut].view(np.uint64), low_bits, radius)
+                return block_links(key[:cut].view(np.uint64), fp[:cut].view(np.uint64), low_bits, radius)
             return np.empty(0, np.int64), np.empty(0, np.int64)
 
         for batch in batches:
@@ -185,7 +223,37 @@ def links(fps: DataFrame, radius: int = 4, prefix_bits: int = 16) -> DataFrame:
             a, b = flush(True)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return sent.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    return map_batches(rows.select("key", "fp").repartition("key").sortWithinPartitions("key"), run, "a long, b long")
+
+
+def links(fps: DataFrame, radius: int = 4, hot: int = HOT_ROWS) -> DataFrame:
+    """Edges (a, b) that connect all distinct ``fp`` within ``radius`` bits.
+
+    Transitive closure of the edges is the closure of "differs in at most
+    ``radius`` bits"; an edge itself may join two ends of a chain.  ``radius``
+    is even.  A key that more than ``hot`` fingerprints share is replaced by
+    keys of 16 more bits, again and again; a key of all 64 bits is a variant,
+    which at most a ball of distinct fingerprints has, so no task gets an
+    unbounded group.
+    """
+    half = radius // 2
+    rows, low_bits, out = _sent(fps, half), BITS - STEP, None
+    top = _hot_prefixes(fps, half, hot)  # at most 65,536 numbers
+    crowded = fps.sparkSession.createDataFrame([(k,) for k in top], "key long") if top else None
+    while crowded is not None:
+        if low_bits == BITS - STEP:
+            crowded = F.broadcast(crowded)
+        own = _linked(rows.join(crowded, "key", "left_anti"), low_bits, radius)
+        out = own if out is None else out.unionByName(own)
+        rows, low_bits = _refined(rows.join(crowded, "key", "left_semi"), low_bits, half), low_bits - STEP
+        if low_bits == 0:
+            break
+        rows = materialize(rows, "crowded-keys")
+        crowded = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "hot-keys")
+        if crowded.isEmpty():
+            crowded = None
+    own = _linked(rows, low_bits, radius)
+    return (own if out is None else out.unionByName(own)).distinct()
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
@@ -207,16 +275,29 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return own.join(by_fp, "fp", "left").select(F.col("doc_id").alias(id_col), "fp", "component_id")
 
 
-def representatives(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay when one of each group stays (smallest id).
+def representatives(docs: DataFrame, width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
+    """The documents that stay when one of each group stays.  All columns are kept.
 
-    All columns are kept.  Rows that repeat the id of the one that stays are
-    dropped; rows without an id cannot be told apart and stay.
+    Of each group of ``simhash_groups`` exactly one row stays: the one with the
+    smallest id, rows without an id after all others, and among rows of one id
+    the one whose columns hash lowest.  So rows that share an id but not their
+    group are decided one by one, and of rows that are equal in every column one
+    stays.  Null and empty texts are a group with fingerprint zero.  No rows
+    give no rows.
     """
-    groups = simhash_groups(docs, **options)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    values = [*names, *[c.isNull() for c in names]]
+    # 128 bits tell rows apart
+    keyed = docs.withColumns({"__a": F.xxhash64(*values), "__b": F.xxhash64(F.lit(1), *values)})
+    slim = keyed.select(F.col("doc_id").alias("id"), F.col("__a").alias("a"), F.col("__b").alias("b"), "text")
+    own = materialize(with_fingerprints(slim, width, seed), "fingerprints")
+    distinct = materialize(own.select("fp").distinct(), "distinct-fingerprints")
+    comps = connected_components(links(distinct, radius)).withColumnRenamed("node", "fp")
+    # the first row of each fingerprint, then of each component
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "a", "b")).alias("first")
+    of_fp = own.groupBy("fp").agg(first).join(comps, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    stay = of_fp.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.a").alias("__a"), F.col("first.b").alias("__b"))
+    return keyed.join(stay, ["__a", "__b"], "left_semi").dropDuplicates(["__a", "__b"]).select(*names)
 
 
 def hex_fingerprint(fp):
