@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import single_threaded
+from .common import field_types, map_batches
 
 WORD_TERMS = 1024
 SHAPE_TERMS = 256
@@ -33,52 +33,54 @@ NEIGHBOURS = 25
 #: Weight of the word block beside the shape block of length one.
 WORD_WEIGHT = 0.35
 THRESHOLD = 0.7
-CACHE_TOKENS = 250_000
-BLOCK_DOCS = 512
+#: Tokens whose terms a task keeps; longer ones than CACHED_CHARS are worked out each time.
+CACHE_TOKENS = 100_000
+CACHED_CHARS = 64
+BLOCK_DOCS = 256
 
 _REPEAT = re.compile(r"(.)\1+")
 
 
 def shape(token: str) -> str:
-    """Token with letters as A or a, digits as 0, and runs shortened: ``Word,,`` is ``Aa,``."""
-    made = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token[:64])
+    """Whole token with letters as A or a, digits as 0, and runs shortened: ``Word,,`` is ``Aa,``."""
+    made = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
     return _REPEAT.sub(r"\1", made)
 
 
 def distinct_share(slots: np.ndarray, window: int = 50) -> float:
-    """Mean share of distinct tokens in windows, so that it doesn't fall with length."""
+    """Mean share of distinct tokens in windows, so that it doesn't fall with length; the last window may be shorter and weighs less."""
     n = len(slots)
-    if n <= window:
-        return len(np.unique(slots)) / n
-    rows = np.sort(slots[: n - n % window].reshape(-1, window), axis=1)
-    return float(((rows[:, 1:] != rows[:, :-1]).sum() + len(rows)) / rows.size)
+    whole = n - n % window
+    rows = np.sort(slots[:whole].reshape(-1, window), axis=1)
+    distinct = (rows[:, 1:] != rows[:, :-1]).sum() + len(rows) + len(np.unique(slots[whole:]))
+    return float(distinct / n)
+
+
+class _Slots(dict):
+    """Token to the slots of its word and shape; forgets all when it is full."""
+
+    def __missing__(self, token: str) -> int:
+        word = zlib.crc32(token.lower().strip(".,;:!?\"'()*#%&$|").encode("utf-8", "surrogatepass")) % WORD_TERMS
+        slot = word * SHAPE_TERMS + zlib.crc32(shape(token).encode("utf-8", "surrogatepass")) % SHAPE_TERMS
+        if len(token) <= CACHED_CHARS:
+            if len(self) >= CACHE_TOKENS:
+                self.clear()
+            self[token] = slot
+        return slot
 
 
 class Terms:
-    """Rows of term counts; token slots are cached."""
+    """Rows of term counts; slots of tokens are kept."""
 
     def __init__(self):
-        self.slots: dict[str, int] = {}
-
-    def _slot(self, token: str) -> int:
-        word = zlib.crc32(token.lower().strip(".,;:!?\"'()*#%&$|").encode("utf-8", "surrogatepass")) % WORD_TERMS
-        return word * SHAPE_TERMS + zlib.crc32(shape(token).encode("utf-8", "surrogatepass")) % SHAPE_TERMS
+        self.slot = _Slots().__getitem__
 
     def row(self, text: str) -> np.ndarray:
         out = np.zeros(TERMS, np.float32)
         tokens = text.split()
         if not tokens:
             return out
-        known = self.slots
-        try:
-            slots = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-        except KeyError:
-            if len(known) > CACHE_TOKENS:
-                known.clear()
-            for t in tokens:
-                if t not in known:
-                    known[t] = self._slot(t)
-            slots = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        slots = np.fromiter(map(self.slot, tokens), np.int64, len(tokens))
         out[:WORD_TERMS] = np.bincount(slots // SHAPE_TERMS, minlength=WORD_TERMS)
         out[WORD_TERMS : WORD_TERMS + SHAPE_TERMS] = np.bincount(slots % SHAPE_TERMS, minlength=SHAPE_TERMS)
         n, lines = len(tokens), [x for x in text.split("\n") if x]
@@ -110,15 +112,18 @@ class Model:
     labels: np.ndarray
 
     def scores(self, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-        """Share of label 1 among the nearest vectors, weighted by cosine; the mean label if none is near."""
+        """Share of label 1 among the nearest vectors, weighted by cosine; the mean label if none is near.
+
+        Vectors as near as the last of the ``neighbours`` vote too, so ties don't depend on an order.
+        """
         if not len(self.labels):
             return np.full(len(counts), 0.5)
         near = unit(weigh(counts, self.idf) @ self.axes) @ self.vectors.T
         k = min(neighbours, near.shape[1])
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64)
-        total = weight.sum(axis=1)
-        voted = (weight * self.labels[best]).sum(axis=1) / np.maximum(total, 1e-12)
+        last = np.partition(near, -k, axis=1)[:, -k]
+        weight = np.where(near >= np.maximum(last, 0)[:, None], near, 0)
+        total = weight.sum(axis=1, dtype=np.float64)
+        voted = (weight @ self.labels.astype(np.float32)) / np.maximum(total, 1e-12)
         return np.where(total > 1e-9, np.clip(voted, 0, 1), self.labels.mean())
 
 
@@ -150,8 +155,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", limit:
                 made = pa.array([r.tobytes() for r in rows], pa.binary())
                 yield pa.RecordBatch.from_arrays([made, batch.column(1), batch.column(2)], ["counts", "label", "doc_id"])
 
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label", "doc_id").mapInArrow(run, "counts binary, label double, doc_id long").toPandas()
-    found = found.drop_duplicates("doc_id").sort_values("doc_id")
+    # one text of an id that several documents have: the one that hashes lowest
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = map_batches(chosen.select("text", "label", "doc_id"), run, f"counts binary, label double, doc_id {kind}").toPandas().sort_values("doc_id")
     counts = np.stack([np.frombuffer(x, np.float32) for x in found["counts"]]) if len(found) else np.zeros((0, TERMS), np.float32)
     return fit(counts, found["label"].to_numpy(np.float64))
 
@@ -162,13 +169,13 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, thres
     A null text scores as the empty one; a text without words has no neighbour
     and gets the mean label of the sample, and without any labelled row every
     score is 0.5.  ``predicted`` is 1 from ``threshold`` on.  Columns of these
-    two names are replaced.
+    two names are replaced.  Documents that are equal or repeated score alike.
+    No rows give no rows.
     """
     columns = [c for c in (keep or docs.columns) if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TRAINING_ROWS x LATENT and TERMS x LATENT numbers
 
     def run(batches):
-        single_threaded()
         model, terms = shared.value, Terms()
         for batch in batches:
             texts, scores = batch.column("text").to_pylist(), []
@@ -178,5 +185,5 @@ def classify(docs: DataFrame, model: Model, keep: list[str] | None = None, thres
             made = [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], [*columns, "score", "predicted"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])]).mapInArrow(run, f"{kinds}, score double, predicted int")
+    rows = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])])
+    return map_batches(rows, run, f"{field_types(docs, columns)}, score double, predicted int")
