@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import single_threaded
+from .common import batch_texts, field_types, map_batches
 
 #: First and last code point of the scripts told apart; others count as "other".
 SCRIPTS = {
@@ -40,9 +40,13 @@ SCRIPT_SHARE = 0.001
 TRAINING_DOCUMENTS = 3000
 SWITCH_PENALTY = 12.0
 SMOOTHING = 0.1
-CACHE_WORDS = 250_000
-#: Characters of text that a task labels at once.
+#: Words, and characters of words, whose scores a task keeps.
+CACHE_WORDS = 100_000
+CACHE_CHARS = 2_000_000
+#: Characters of text that a task labels at once, unless one text has more.
 BLOCK_CHARS = 2_000_000
+#: Languages at most: a model is broadcast, 260 kB for each.
+MAX_LANGUAGES = 400
 UNDETERMINED = "und"
 
 _starts = np.array(sorted((a, b, i) for i, name in enumerate(SCRIPTS) for a, b in SCRIPTS[name]))
@@ -89,14 +93,16 @@ class WordScores:
 
     def __post_init__(self):
         n = len(self.model.languages)
-        self.rows, self.sizes, self.open = np.empty((0, n), np.float32), np.empty(0, np.int32), np.empty((0, n), bool)
+        self.rows, self.sizes, self.open, self.chars = np.empty((0, n), np.float32), np.empty(0, np.int32), np.empty((0, n), bool), 0
 
     def lookup(self, texts: list[list[str]]) -> list[np.ndarray]:
-        missing = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in self.index]
-        if len(self.index) + len(missing) > CACHE_WORDS:
+        distinct = dict.fromkeys(w for t in texts for w in t)
+        missing = [w for w in distinct if w not in self.index]
+        if len(self.index) + len(missing) > CACHE_WORDS or self.chars > CACHE_CHARS:
             self.index = {}
             self.__post_init__()
-            missing = list(dict.fromkeys(w for t in texts for w in t))
+            missing = list(distinct)
+        self.chars += sum(map(len, missing))
         if missing:
             self.index |= {w: i for i, w in enumerate(missing, len(self.index))}
             got = self._score(missing)
@@ -124,17 +130,18 @@ class WordScores:
 def viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of each row; texts are the row ranges ``starts`` + ``lengths``, stepped through together."""
     total, n = scores.shape
-    label = np.zeros(total, np.int8)
+    kind = np.min_scalar_type(max(n - 1, 0))
+    label = np.zeros(total, np.int64)
     if not total:
         return label
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
     longest = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
-    back = np.zeros((total, n), np.int8)
+    back = np.zeros((total, n), kind)
     value = scores[starts[: active[0]]].astype(np.float64)
-    own = np.arange(n, dtype=np.int8)[None, :]
-    last = np.zeros(len(starts), np.int8)
+    own = np.arange(n, dtype=kind)[None, :]
+    last = np.zeros(len(starts), np.int64)
     for t in range(1, longest):
         a = active[t]
         if a < active[t - 1]:
@@ -147,7 +154,7 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty
         back[at] = np.where(stay, own, best[:, None])
         value = np.where(stay, value, switched[:, None]) + scores[at]
     last[: len(value)] = value.argmax(axis=1)
-    now = last.astype(np.int64)
+    now = last
     for t in range(longest - 1, -1, -1):
         a = active[t]
         at = starts[:a] + t
@@ -157,12 +164,25 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty
     return label
 
 
-def label_texts(texts: list[str], scorer: WordScores) -> tuple[list[str], list[float], list[list[tuple[str, int, int]]]]:
-    """Language, score and spans (language, first word, word after the last) of each text."""
-    languages = scorer.model.languages
-    n = len(languages)
-    if not n:
-        return [UNDETERMINED] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+@dataclass
+class Labelled:
+    """Best language (index) and its share of letters of each text (total: letters), and spans one after another.
+
+    Spans of text ``i`` are those from ``offsets[i]`` to ``offsets[i + 1]``:
+    language, first word and the word after the last.
+    """
+
+    best: np.ndarray
+    share: np.ndarray
+    total: np.ndarray
+    offsets: np.ndarray
+    language: np.ndarray
+    first: np.ndarray
+    stop: np.ndarray
+
+
+def label_words(texts: list[str], scorer: WordScores) -> Labelled:
+    n = len(scorer.model.languages)
     tokens = [t.split() for t in texts]
     at = scorer.lookup(tokens)
     lengths = np.array([len(t) for t in tokens], np.int64)
@@ -177,12 +197,23 @@ def label_texts(texts: list[str], scorer: WordScores) -> tuple[list[str], list[f
     total = np.bincount(of, size, len(texts))
     best = weight.argmax(axis=1)
     share = weight[np.arange(len(texts)), best] / np.maximum(total, 1)
-    edge = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (of[1:] != of[:-1])])) if len(rows) else np.empty(0, np.int64)
-    spans: list[list] = [[] for _ in texts]
-    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(rows)]):
-        spans[of[a]].append((languages[label[a]], int(a - starts[of[a]]), int(b - starts[of[a]])))
-    names = [languages[b] if t else UNDETERMINED for b, t in zip(best, total)]
-    return names, [float(s) if t else 0.0 for s, t in zip(share, total)], spans
+    change = np.ones(len(rows), bool)
+    change[1:] = (label[1:] != label[:-1]) | (of[1:] != of[:-1])
+    edge = np.flatnonzero(change)
+    offsets = np.searchsorted(of[edge], np.arange(len(texts) + 1))
+    ends = np.append(edge[1:], len(rows))[: len(edge)]
+    return Labelled(best, share, total, offsets, label[edge], edge - starts[of[edge]], ends - starts[of[edge]])
+
+
+def label_texts(texts: list[str], scorer: WordScores) -> tuple[list[str], list[float], list[list[tuple[str, int, int]]]]:
+    """Language, score and spans (language, first word, word after the last) of each text."""
+    languages = scorer.model.languages
+    if not languages:
+        return [UNDETERMINED] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+    got = label_words(texts, scorer)
+    names = [languages[b] if t else UNDETERMINED for b, t in zip(got.best, got.total)]
+    spans = list(zip([languages[x] for x in got.language], got.first.tolist(), got.stop.tolist()))
+    return names, [float(s) if t else 0.0 for s, t in zip(got.share, got.total)], [spans[a:b] for a, b in zip(got.offsets, got.offsets[1:])]
 
 
 def train(docs: DataFrame, per_language: int = TRAINING_DOCUMENTS, penalty: float = SWITCH_PENALTY) -> Model:
@@ -190,9 +221,12 @@ def train(docs: DataFrame, per_language: int = TRAINING_DOCUMENTS, penalty: floa
 
     From each language about ``per_language`` documents are taken (all, if
     fewer), chosen by a hash of the id: the one bounded sample of this operator.
+    More than ``MAX_LANGUAGES`` languages are an error.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: is lang a language?")
     languages = sorted(sizes)
     scores, allowed = np.zeros((len(languages), TABLE)), np.zeros((len(languages), len(NAMES)))
     if not languages:
@@ -214,7 +248,7 @@ def train(docs: DataFrame, per_language: int = TRAINING_DOCUMENTS, penalty: floa
         of, slot = np.nonzero(both)
         yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(slot), pa.array(both[of, slot])], ["of", "slot", "n"])
 
-    counts = sample.select("text", "lang").mapInArrow(run, "of long, slot long, n long").groupBy("of", "slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = map_batches(sample.select("text", "lang"), run, "of long, slot long, n long").groupBy("of", "slot").agg(F.sum("n").alias("n")).toPandas()
     both = np.zeros((len(languages), TABLE + len(NAMES)))
     both[counts["of"], counts["slot"]] = counts["n"]
     tri, scr = both[:, :TABLE], both[:, TABLE:]
@@ -234,29 +268,31 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, with_
     """
     added = ("lang_pred", "score", "spans") if with_spans else ("lang_pred", "score")
     columns = [c for c in (keep or docs.columns) if c not in added]
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # languages x 65,536 scores
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES x 65,536 scores
     fields = "lang_pred string, score double" + ", spans array<struct<lang:string,first:int,stop:int>>" * with_spans
-    span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches):
-        single_threaded()
-        scorer = WordScores(shared.value)
+        model = shared.value
+        scorer, names = WordScores(model), pa.array([*model.languages, UNDETERMINED], pa.string())
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            out, at = [[], [], []], 0
-            while at < len(texts):
+            texts, parts, at = batch_texts(batch), [], 0
+            while at < len(texts) and model.languages:
                 stop, size = at, 0
                 while stop < len(texts) and (stop == at or size + len(texts[stop]) <= BLOCK_CHARS):
                     size += len(texts[stop])
                     stop += 1
-                for all_, part in zip(out, label_texts(texts[at:stop], scorer)):
-                    all_ += part
+                parts.append(label_words(texts[at:stop], scorer))
                 at = stop
-            made = [pa.array(out[0], pa.string()), pa.array(out[1], pa.float64())]
+            join = lambda name: np.concatenate([getattr(p, name) for p in parts]) if parts else np.zeros(0 if name in ("language", "first", "stop") else len(texts))
+            total = join("total")
+            best = np.where(total > 0, join("best"), len(model.languages)).astype(np.int64)
+            made = [names.take(pa.array(best)), pa.array(np.where(total > 0, join("share"), 0.0), pa.float64())]
             if with_spans:
-                made.append(pa.array([[{"lang": a, "first": b, "stop": c} for a, b, c in s] for s in out[2]], span))
+                sizes = np.concatenate([np.diff(p.offsets) for p in parts]) if parts else np.zeros(len(texts), np.int64)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                of = [names.take(pa.array(join("language").astype(np.int64))), *(pa.array(join(x).astype(np.int32)) for x in ("first", "stop"))]
+                made.append(pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(of, ["lang", "first", "stop"])))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], [*columns, *added])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])]).mapInArrow(run, f"{kinds}, {fields}")
+    rows = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])])
+    return map_batches(rows, run, f"{field_types(docs, columns)}, {fields}")
