@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bound_batches
+
 SCALE = 1024
 #: Leading bits of each attribute that are sliced.
 KEPT_BITS = 6
@@ -53,11 +55,14 @@ class BitSlices:
     def __init__(self, rows: np.ndarray, kept: int = KEPT_BITS):
         self.rows = rows.astype(np.int64)
         self.n = len(rows)
+        self.largest = max(abs(int(self.rows.min(initial=0))), abs(int(self.rows.max(initial=0))))
         low = self.rows.min(axis=0) if self.n else np.zeros(rows.shape[1], np.int64)
-        span = int((self.rows - low).max(initial=0)).bit_length()
+        # differences of 64-bit numbers fit into 64 bits without a sign
+        above = self.rows.view(np.uint64) - low.view(np.uint64)
+        span = int(above.max(initial=0)).bit_length()
         self.low, self.shift, self.bits = low, max(0, span - kept), max(1, min(span, kept))
-        top = (self.rows - low) >> self.shift
-        self.slices = pack_bits(np.stack([(top.T >> j) & 1 for j in range(self.bits)], axis=1).astype(bool))
+        top = above >> np.uint64(self.shift)
+        self.slices = pack_bits(np.stack([(top.T >> np.uint64(j)) & np.uint64(1) for j in range(self.bits)], axis=1).astype(bool))
         self.ones = pack_bits(np.ones(self.n, bool))
         self.inverse = self.slices ^ self.ones
 
@@ -66,7 +71,7 @@ class BitSlices:
 
         A negative digit adds the complement, which shifts all sums by the same amount.
         """
-        weights: list[list[np.ndarray]] = [[] for _ in range(64)]
+        weights: list[list[np.ndarray]] = [[] for _ in range(160)]  # 64 bits of a query, the slices, and carries
         for d, value in enumerate(query.tolist()):
             for at, digit in signed_digits(value):
                 source = self.slices[d] if digit > 0 else self.inverse[d]
@@ -89,12 +94,18 @@ class BitSlices:
         return total
 
     def best(self, query: np.ndarray, k: int, barred: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows that can be among the ``k`` best (all ties included), and their exact scores."""
+        """Rows that can be among the ``k`` best (all ties included), and their exact scores.
+
+        Where 64 bits might not hold a sum, all rows are scored with whole numbers of any size.
+        """
+        if self.largest * max(map(abs, query.tolist()), default=0) * max(1, len(query)) >= 1 << 62:
+            rows = np.flatnonzero(np.arange(self.n) != barred)
+            return rows, self.rows[rows].astype(object) @ query.astype(object)
         alive = self.ones.copy()
         if barred >= 0:
             alive[barred >> 6] &= ~np.uint64(1 << (barred & 63))
         if k < int(np.bitwise_count(alive).sum()):
-            slack = int(np.abs(query).sum()) * ((1 << self.shift) - 1) >> self.shift
+            slack = sum(map(abs, query.tolist())) * ((1 << self.shift) - 1) >> self.shift
             alive = self._at_least(self.sum_slices(query), alive, k, slack + 1)
         rows = np.flatnonzero(unpack_bits(alive, self.n))
         return rows, self.rows[rows] @ query
@@ -123,11 +134,16 @@ class BitSlices:
 
 
 def quantise(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """(vec_id, q): floor(scale * x) of vectors without a null or non-finite component."""
+    """(vec_id, q): floor(scale * x), 64 bits, of vectors without a null or non-finite component.
+
+    A component that 64 bits don't hold is an error.
+    """
     d = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     bad = F.exists(d, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fine = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ~F.coalesce(bad, F.lit(True))
-    return vectors.where(fine).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(d, lambda x: F.floor(x * scale).cast("int")).alias("q"))
+    beyond = F.raise_error(F.lit("a scaled component doesn't fit into 64 bits"))
+    whole = lambda x: F.when(F.abs(x * scale) < float(1 << 62), F.floor(x * scale)).otherwise(beyond.cast("long"))
+    return vectors.where(fine).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(d, whole).alias("q"))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -140,9 +156,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
     are candidates of their own, but never candidates of that id's query, which
     is asked once.  Other columns are ignored.  Without queries or candidates
     there are no rows.  Queries are a stated set, met with all rows in blocks:
-    each block of candidates is indexed once for each block of queries.
+    each block of candidates is indexed once for each block of queries.  A score
+    among the best that 64 bits don't hold is an error.
     """
-    spark = vectors.sparkSession
+    bound_batches(vectors.sparkSession)
     rows = quantise(vectors, id_col, vector_col, scale)
     sizes = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     row_blocks, query_blocks = max(1, -(-sizes[0] // BLOCK_ROWS)), max(1, -(-sizes[1] // BLOCK_QUERIES))
@@ -163,9 +180,14 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
                 same = np.atleast_1d(at.get(query_id, np.empty(0, np.int64)))
                 found, scores = index.best(np.asarray(q, np.int64), k + max(0, len(same) - 1), int(same[0]) if len(same) else -1)
                 scores, found = scores[ids[found] != query_id], ids[found[ids[found] != query_id]]
-                best = np.lexsort((found, -scores))[:k]
+                if scores.dtype == object:
+                    best = np.array(sorted(range(len(found)), key=lambda i: (-scores[i], found[i]))[:k], np.int64)
+                else:
+                    best = np.lexsort((found, -scores))[:k]
                 out.append((np.full(len(best), query_id), found[best], scores[best]))
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
+        made = [np.concatenate(x) for x in zip(*out)]
+        made[2] = np.array(made[2].tolist(), np.int64)  # OverflowError if 64 bits don't hold a score
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), made)))
 
     partial = candidates.groupBy("row_block", "query_block").cogroup(asked.groupBy("row_block", "query_block")).applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
