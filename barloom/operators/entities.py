@@ -64,6 +64,15 @@ def findings(counts: DataFrame, severities: dict[str, str]) -> DataFrame:
     return counts.select(F.inline(cells))
 
 
+def evidence_coverage(evidence: DataFrame, targets: list[str]) -> DataFrame:
+    """Rows by the first target that they name, in the order of ``targets``, and observations with each target."""
+    first = F.coalesce(*[F.when(F.col(t).isNotNull(), t) for t in targets], F.lit("none"))
+    rows = evidence.groupBy(F.concat(F.lit("rows:"), first).alias("target")).agg(F.count("*").alias("n"))
+    one = evidence.agg(*[F.count_distinct(F.when(F.col(t).isNotNull(), F.col("observation"))).alias(t) for t in targets])
+    cells = F.array(*[F.struct(F.lit(f"observations:{t}").alias("target"), F.col(t).alias("n")) for t in targets])
+    return rows.unionByName(one.select(F.inline(cells)))
+
+
 def snapshot_diff(snapshots: DataFrame) -> DataFrame:
     """Latest against previous snapshot (source, at, sha, size) of each source."""
     from pyspark.sql import Window

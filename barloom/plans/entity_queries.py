@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators import audit
 from ..operators import entities as en
 from ..sources.adapters import table
 
@@ -280,9 +281,27 @@ def friendly_name(spark, sf_dir):
 
 
 def provenance_merge(spark, sf_dir):
-    """Events merged by user: newest first, every origin once."""
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(F.max("event_id").alias("newest"), F.concat_ws(",", F.sort_array(F.collect_set("event_type"))).alias("origins"), F.count("*").alias("n"))
+    """Events merged by user: the newest, and every origin once in the order in which it was first seen."""
+    e = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.count("*").alias("n"))
+    origins = F.transform(F.array_sort(F.collect_list(F.struct("first", "event_type"))), lambda x: x["event_type"])
+    return e.groupBy("user_id").agg(F.max("last").alias("newest"), F.concat_ws(",", origins).alias("origins"), F.sum("n").alias("n"))
+
+
+def evidence_coverage(spark, sf_dir):
+    """Evidence by the first of its targets, and observations that have evidence for each target."""
+    o = _observations(spark, sf_dir)
+    kept = {"listing": F.col("run") % 4 != 1, "security": F.col("run") % 3 != 1, "issuer": F.col("run") % 2 == 0}
+    e = o.select("observation", *[F.when(rule, F.col(c)).alias(c) for c, rule in kept.items()])
+    return en.evidence_coverage(e, list(kept))
+
+
+def audit_inserts(spark, sf_dir):
+    """What a reconciliation of bars writes to the audit, counted by action and field; a second run adds nothing."""
+    from .merge_queries import _incoming, _stored
+
+    rows = audit.audit_rows(_incoming(spark, sf_dir), _stored(spark, sf_dir), ["listing", "trading_date"], ["open", "close"], "r1", "bar")
+    again = audit.append_absent(rows, rows)
+    return rows.groupBy("action", "field").agg(F.count_distinct("audit_id").alias("entries")).unionByName(again.groupBy("action", "field").agg(F.count("*").alias("entries")))
 
 
 def nested_regroup(spark, sf_dir):
@@ -347,7 +366,7 @@ def resolve_benchmark(spark, sf_dir):
 QUERIES |= {f.__name__: f for f in (
     severity_rollup, alias_resolve, unmapped_values, missing_evidence, run_scope_semi, unreconciled_obs, orphans, id_mismatch, ticker_mismatch, successor_asof, entity_counts, market_snapshot,
     coverage_sets, nested_children, evidence_derive, confidence_score, entity_resolve, listing_resolve, dq_counters, dq_findings, snapshot_diff, entity_deltas, zero_delta, expired_objects, json_evidence, normalize_symbol,
-    name_variants, row_hash, duration_parse, friendly_name, provenance_merge, nested_regroup, provider_pivot, outcome_join, success_rate, lenient_filter, scope_filter, eligible_listings, subject_support, resolve_benchmark,
+    name_variants, row_hash, duration_parse, friendly_name, provenance_merge, evidence_coverage, audit_inserts, nested_regroup, provider_pivot, outcome_join, success_rate, lenient_filter, scope_filter, eligible_listings, subject_support, resolve_benchmark,
 )}
 
 _B = """issuers AS (SELECT s_suppkey AS issuer, CASE WHEN s_suppkey % 17 <> 0 THEN lpad(CAST(s_suppkey % 90 AS VARCHAR), 10, '0') END AS cik, 'Firm ' || (s_suppkey % 60) || CASE s_suppkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' CORP' ELSE ' Holdings' END AS name FROM supplier),
@@ -403,6 +422,7 @@ _DQ = f"WITH {_B}, dq AS (SELECT * FROM (SELECT count(*) FILTER (cik IS NULL) AS
 _DELTA = "WITH d AS (SELECT o_orderstatus, count(*) FILTER (CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31') AS created, count(*) FILTER (CAST(o_orderdate AS DATE) < DATE '1996-01-01') AS before FROM orders GROUP BY 1)"
 _ACCENTS = f"{text.ACCENTED}', '{text.PLAIN}"
 from ..sources.adapters import BARS_SQL  # noqa: E402
+from .merge_queries import _BASE as _AUDIT_BASE  # noqa: E402
 
 SQL |= {
     "severity_rollup": f"WITH {_B}, {_ALL} SELECT conflict, count(*) AS n, {_WORST} FROM c GROUP BY 1 UNION ALL SELECT 'ALL', count(*), {_WORST} FROM c",
@@ -439,7 +459,15 @@ SQL |= {
         SELECT o_orderkey, seconds, CASE WHEN seconds IS NOT NULL THEN printf('%d:%02d:%02d', seconds // 3600, seconds % 3600 // 60, seconds % 60) ELSE 'null:null:null' END AS clock FROM s""",
     "friendly_name": f"""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(translate(lower(text), '{_ACCENTS}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe FROM documents)
         SELECT doc_id, coalesce(nullif(CASE WHEN length(safe) <= 40 THEN safe ELSE regexp_replace(substring(safe, 1, 41), '_?[^_]*$', '') END, ''), 'untitled') AS name FROM s""",
-    "provenance_merge": "SELECT user_id, max(event_id) AS newest, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS origins, count(*) AS n FROM events GROUP BY 1",
+    "provenance_merge": """WITH f AS (SELECT user_id, event_type, min(event_id) AS first, max(event_id) AS last, count(*) AS n FROM events GROUP BY 1, 2)
+        SELECT user_id, max(last) AS newest, string_agg(event_type, ',' ORDER BY first) AS origins, CAST(sum(n) AS BIGINT) AS n FROM f GROUP BY 1""",
+    "evidence_coverage": f"""WITH {_B}, e AS (SELECT observation, CASE WHEN run % 4 <> 1 THEN listing END AS listing, CASE WHEN run % 3 <> 1 THEN security END AS security, CASE WHEN run % 2 = 0 THEN issuer END AS issuer FROM obs)
+        SELECT target, CAST(n AS BIGINT) AS n FROM (SELECT 'rows:' || CASE WHEN listing IS NOT NULL THEN 'listing' WHEN security IS NOT NULL THEN 'security' WHEN issuer IS NOT NULL THEN 'issuer' ELSE 'none' END AS target, count(*) AS n FROM e GROUP BY 1
+        UNION ALL SELECT 'observations:issuer', count(DISTINCT observation) FILTER (issuer IS NOT NULL) FROM e UNION ALL SELECT 'observations:security', count(DISTINCT observation) FILTER (security IS NOT NULL) FROM e
+        UNION ALL SELECT 'observations:listing', count(DISTINCT observation) FILTER (listing IS NOT NULL) FROM e)""",
+    "audit_inserts": f"""{_AUDIT_BASE}, j AS (SELECT i.*, s.open AS so, s.close AS sc, s.there FROM incoming i LEFT JOIN (SELECT *, true AS there FROM stored) s USING (listing, trading_date)),
+        k2 AS (SELECT CASE WHEN there IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action, CASE WHEN there THEN unnest(['open', 'close']) ELSE NULL END AS field, * FROM j)
+        SELECT action, field, count(*) AS entries FROM (SELECT DISTINCT action, field, listing, trading_date FROM k2 WHERE there IS NULL OR (field = 'open' AND open IS DISTINCT FROM so) OR (field = 'close' AND close IS DISTINCT FROM sc)) GROUP BY 1, 2""",
     "nested_regroup": "SELECT user_id, CAST(ts AS DATE) AS day, '[' || string_agg('{\"e\":' || event_id || ',\"t\":\"' || event_type || '\"}', ',' ORDER BY event_id) || ']' AS items FROM events GROUP BY 1, 2",
     "provider_pivot": "SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS \"{t}\"" for t in TYPES) + " FROM events GROUP BY 1",
     "outcome_join": "SELECT o_orderkey, o_orderstatus, returned FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (o_orderkey)",

@@ -113,3 +113,27 @@ def test_friendly_names_read_whole_texts(spark):
 def test_unknown_features_are_an_error(spark):
     with pytest.raises(ValueError, match="unknown"):
         readiness.model_inputs(spark.range(1), ["x"], {"y"}, F.lit(1), spark.range(1))
+
+
+def test_audit_of_a_repeated_run_adds_nothing(spark):
+    from barloom.operators import audit
+
+    stored = spark.createDataFrame([(1, "a", None), (2, "b", 2.0)], "k int, x string, y double")
+    incoming = spark.createDataFrame([(1, "a", None), (2, "c", None), (3, "d", 1.0)], stored.schema)
+    rows = audit.audit_rows(incoming, stored, ["k"], ["x", "y"], "r", "thing")
+    assert sorted((r.key, r.action, r.field or "", r.old, r.new) for r in rows.collect()) == [("2", "UPDATE", "x", "b", "c"), ("2", "UPDATE", "y", "2.0", None), ("3", "INSERT", "", None, '{"x":"d","y":1.0}')]
+    assert audit.append_absent(rows, rows).count() == 0 and audit.append_absent(rows.limit(0), rows).count() == 3
+
+
+def test_reports_and_settings():
+    from decimal import Decimal
+
+    from barloom import reports
+
+    report = {"b": Decimal("1.50"), "a": [dt.date(2026, 1, 2), float("nan")], "c": {"z", "y"}}
+    assert reports.json_text(report) == reports.json_text(dict(reversed(report.items())))
+    assert '"b": "1.50"' in reports.json_text(report) and '"2026-01-02"' in reports.json_text(report)
+    wanted = [reports.Setting("N", int, 5, 1), reports.Setting("ON", bool, False), reports.Setting("WAIT", "duration"), reports.Setting("WHICH", "list", [])]
+    assert reports.read_settings(wanted, {"WAIT": "10m", "WHICH": "a, b,", "ON": "yes"}) == {"N": 5, "ON": True, "WAIT": 600, "WHICH": ["a", "b"]}
+    with pytest.raises(ValueError, match="N is less than 1; ON is not true or false; WAIT is required"):
+        reports.read_settings(wanted, {"N": "0", "ON": "maybe"})
