@@ -53,17 +53,13 @@ def breadth(rows: DataFrame, markets: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count(r).alias("comparable"), F.count(F.when(r > 0, 1)).alias("advancers"), F.count(F.when(r < 0, 1)).alias("decliners"),
         F.count(F.when(r == 0, 1)).alias("unchanged"), F.count(F.when(r.isNull(), 1)).alias("missing"), F.sum("volume").alias("volume"), F.round(F.avg(r), 6).alias("avg_return"),
     )
-    # as many rows as there are dates and markets
-    every = rows.select("trading_date").distinct().withColumn("market", F.explode(F.array_sort(F.array(*[F.lit(m[0]) for m in markets.select("market").distinct().collect()]))))
+    # as many rows as there are dates and markets; the markets are one row
+    named = F.broadcast(markets.agg(F.array_sort(F.collect_set("market")).alias("markets")))
+    every = rows.select("trading_date").distinct().crossJoin(named).select("trading_date", F.explode("markets").alias("market"))
     counts = ["n", "comparable", "advancers", "decliners", "unchanged", "missing"]
     return every.join(found, ["trading_date", "market"], "left").select("trading_date", "market", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("volume", F.lit(0.0)).alias("volume"), "avg_return")
 
 
-#: Upper edges of the return buckets, the last open.
-EDGES = [(-0.10, True), (-0.05, True), (-0.02, True), (0.0, False)]
-RISES = [0.02, 0.05, 0.10]
-
-
 def move_bucket(r: Column) -> Column:
     return (
         F.when(r <= -0.10, 1).when(r <= -0.05, 2).when(r <= -0.02, 3).when(r < 0, 4).when(r == 0, 5)

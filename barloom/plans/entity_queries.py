@@ -371,21 +371,32 @@ QUERIES |= {f.__name__: f for f in (
 
 _B = """issuers AS (SELECT s_suppkey AS issuer, CASE WHEN s_suppkey % 17 <> 0 THEN lpad(CAST(s_suppkey % 90 AS VARCHAR), 10, '0') END AS cik, 'Firm ' || (s_suppkey % 60) || CASE s_suppkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' CORP' ELSE ' Holdings' END AS name FROM supplier),
 securities AS (SELECT p_partkey AS security, p_partkey % 100 AS issuer, 'T' || (p_partkey % 150) AS ticker FROM part),
-lst AS (SELECT p_partkey * 10 AS listing, p_partkey AS security, 'X' || (p_size % 7) AS exchange, p_size % 5 <> 0 AS active FROM part UNION ALL SELECT p_partkey * 10 + 1, p_partkey, 'X' || (p_size % 7), true FROM part WHERE p_partkey % 50 = 0),
+lst AS (SELECT p_partkey * 10 AS listing, p_partkey AS security, 'X' || (p_size % 7) AS exchange, p_size % 5 <> 0 AS active FROM part UNION
+  ALL SELECT p_partkey * 10 + 1, p_partkey, 'X' || (p_size % 7), true FROM part WHERE p_partkey % 50 = 0),
 act AS (SELECT * FROM lst WHERE active), named AS (SELECT * FROM act JOIN securities USING (security)),
 sym0 AS (SELECT listing, 'S' || listing AS symbol FROM lst WHERE listing % 70 <> 0), sym AS (SELECT * FROM sym0 UNION ALL SELECT listing, symbol || 'B' FROM sym0 WHERE listing % 110 = 0),
-obs AS (SELECT l_orderkey * 10 + l_linenumber AS observation, l_suppkey AS issuer, l_partkey AS security, lpad(CAST((l_suppkey + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) % 90 AS VARCHAR), 10, '0') AS cik,
-  'T' || ((l_partkey + CASE WHEN l_linenumber = 6 THEN 1 ELSE 0 END) % 150) AS ticker, CASE WHEN l_linenumber = 2 THEN 'x' ELSE 'X' END || (l_partkey % 9) AS raw_exchange, CASE WHEN l_linenumber <> 5 THEN l_partkey * 10 END AS listing, CAST(l_shipdate AS DATE) AS seen, l_linenumber AS run FROM lineitem),
+obs AS (SELECT l_orderkey * 10 + l_linenumber AS observation, l_suppkey AS issuer, l_partkey AS security, lpad(CAST((l_suppkey + CASE WHEN
+  l_linenumber = 7 THEN 1 ELSE 0 END) % 90 AS VARCHAR), 10, '0') AS cik,
+  'T' || ((l_partkey + CASE WHEN l_linenumber = 6 THEN 1 ELSE 0 END) % 150) AS ticker, CASE WHEN l_linenumber = 2 THEN 'x' ELSE 'X' END ||
+    (l_partkey % 9) AS raw_exchange, CASE WHEN l_linenumber <> 5 THEN l_partkey * 10 END AS listing, CAST(l_shipdate AS DATE) AS seen,
+    l_linenumber AS run FROM lineitem),
 res AS (SELECT *, CASE WHEN lower(raw_exchange) IN ('x0', 'x1', 'x2', 'x3', 'x4', 'x5', 'x6') THEN upper(raw_exchange) WHEN lower(raw_exchange) = 'x7' THEN 'X0' END AS exchange FROM obs)"""
 
 
 def _many(source, key, target, name, severity, where="true"):
     k = " || '|' || ".join(key)
-    return f"SELECT 'conflict_{name}' AS conflict, '{severity}' AS severity, CAST({k} AS VARCHAR) AS key, count(DISTINCT {target}) AS n, array_to_string(list_sort(list(DISTINCT {target}))[1:3], ',') AS sample FROM {source} WHERE {target} IS NOT NULL AND {where} GROUP BY {', '.join(key)} HAVING count(DISTINCT {target}) > 1"
+    return (
+        f"SELECT 'conflict_{name}' AS conflict, '{severity}' AS severity, CAST({k} AS VARCHAR) AS key, count(DISTINCT {target}) AS n, "
+        f"array_to_string(list_sort(list(DISTINCT {target}))[1:3], ',') AS sample FROM {source} WHERE {target} IS NOT NULL AND {where} "
+        f"GROUP BY {', '.join(key)} HAVING count(DISTINCT {target}) > 1"
+    )
 
 
 def _differ(source, a, b, key, name, severity):
-    return f"SELECT 'conflict_{name}' AS conflict, '{severity}' AS severity, CAST({key} AS VARCHAR) AS key, count(*) AS n, min({a} || '<>' || {b}) AS sample FROM {source} WHERE {a} <> {b} GROUP BY {key}"
+    return (
+        f"SELECT 'conflict_{name}' AS conflict, '{severity}' AS severity, CAST({key} AS VARCHAR) AS key, count(*) AS n, min({a} || '<>' || "
+        f"{b}) AS sample FROM {source} WHERE {a} <> {b} GROUP BY {key}"
+    )
 
 
 def _lost(source, key, name, severity):
@@ -406,7 +417,11 @@ _C = {
     "security_exchange_multiple_active_listings": _many("act", ["security", "exchange"], "listing", "security_exchange_multiple_active_listings", "WARN"),
     "active_listing_missing_current_symbol": _lost("(SELECT listing FROM act ANTI JOIN sym USING (listing))", "listing", "active_listing_missing_current_symbol", "WARN"),
     "listing_multiple_current_symbols": _many("sym", ["listing"], "symbol", "listing_multiple_current_symbols", "WARN"),
-    "cik_name_variants": f"SELECT 'conflict_cik_name_variants' AS conflict, CASE WHEN count(DISTINCT {_PLAIN}) > 1 THEN 'WARN' ELSE 'INFO' END AS severity, cik AS key, count(DISTINCT name) AS n, '' AS sample FROM issuers WHERE cik IS NOT NULL GROUP BY cik HAVING count(DISTINCT name) > 1",
+    "cik_name_variants": (
+        f"SELECT 'conflict_cik_name_variants' AS conflict, CASE WHEN count(DISTINCT {_PLAIN}) > 1 THEN 'WARN' ELSE 'INFO' END AS severity, "
+        f"cik AS key, count(DISTINCT name) AS n, '' AS sample FROM issuers WHERE cik IS NOT NULL GROUP BY cik HAVING count(DISTINCT name) > "
+        f"1"
+    ),
     "unknown_exchange_mapping": _lost("(SELECT raw_exchange FROM obs WHERE lower(raw_exchange) NOT IN ('x0', 'x1', 'x2', 'x3', 'x4', 'x7'))", "raw_exchange", "unknown_exchange_mapping", "WARN"),
     "listing_exchange_observation_disagreement": _differ("(SELECT listing, l.exchange AS a, r.exchange AS b FROM lst l JOIN res r USING (listing) WHERE r.exchange IS NOT NULL)", "a", "b", "listing", "listing_exchange_observation_disagreement", "WARN"),
     "security_current_sec_multiple_exchanges": _many("(SELECT s.issuer, s.ticker, l.exchange FROM lst l JOIN securities s USING (security))", ["issuer", "ticker"], "exchange", "security_current_sec_multiple_exchanges", "INFO"),
@@ -417,9 +432,21 @@ _C = {
 SQL = {f"conflict_{k}": f"WITH {_B} {s}" for k, s in _C.items()}
 _ALL = "c AS (" + " UNION ALL ".join(f"SELECT conflict, severity FROM ({s})" for s in _C.values()) + ")"
 _WORST = "CASE WHEN bool_or(severity = 'FAIL') THEN 'FAIL' WHEN bool_or(severity = 'WARN') THEN 'WARN' ELSE 'PASS' END AS status"
-_EVID = f"WITH {_B}, ev AS (SELECT security AS subject, bool_or(lpad(CAST(issuer % 90 AS VARCHAR), 10, '0') = cik) AS cik_match, count(DISTINCT ticker) = 1 AS ticker_stable, count(DISTINCT upper(raw_exchange)) = 1 AS exchange_stable, count(DISTINCT seen) AS n_snapshots, CAST(max(seen) - min(seen) AS BIGINT) AS span_days, CAST(count(DISTINCT cik) - 1 > 20 AS INTEGER) AS conflicts FROM obs GROUP BY 1)"
-_DQ = f"WITH {_B}, dq AS (SELECT * FROM (SELECT count(*) FILTER (cik IS NULL) AS missing_cik, count(*) FILTER (trim(name) = '') AS missing_name FROM issuers), (SELECT count(*) FILTER (listing IS NULL) AS missing_listing, count(*) FILTER (seen > DATE '2001-06-01') AS late FROM obs))"
-_DELTA = "WITH d AS (SELECT o_orderstatus, count(*) FILTER (CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31') AS created, count(*) FILTER (CAST(o_orderdate AS DATE) < DATE '1996-01-01') AS before FROM orders GROUP BY 1)"
+_EVID = (
+    f"WITH {_B}, ev AS (SELECT security AS subject, bool_or(lpad(CAST(issuer % 90 AS VARCHAR), 10, '0') = cik) AS cik_match, "
+    f"count(DISTINCT ticker) = 1 AS ticker_stable, count(DISTINCT upper(raw_exchange)) = 1 AS exchange_stable, count(DISTINCT seen) AS "
+    f"n_snapshots, CAST(max(seen) - min(seen) AS BIGINT) AS span_days, CAST(count(DISTINCT cik) - 1 > 20 AS INTEGER) AS conflicts FROM "
+    f"obs GROUP BY 1)"
+)
+_DQ = (
+    f"WITH {_B}, dq AS (SELECT * FROM (SELECT count(*) FILTER (cik IS NULL) AS missing_cik, count(*) FILTER (trim(name) = '') AS "
+    f"missing_name FROM issuers), (SELECT count(*) FILTER (listing IS NULL) AS missing_listing, count(*) FILTER (seen > DATE "
+    f"'2001-06-01') AS late FROM obs))"
+)
+_DELTA = (
+    "WITH d AS (SELECT o_orderstatus, count(*) FILTER (CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-03-31') AS "
+    "created, count(*) FILTER (CAST(o_orderdate AS DATE) < DATE '1996-01-01') AS before FROM orders GROUP BY 1)"
+)
 _ACCENTS = f"{text.ACCENTED}', '{text.PLAIN}"
 from ..sources.adapters import BARS_SQL  # noqa: E402
 from .merge_queries import _BASE as _AUDIT_BASE  # noqa: E402
@@ -429,25 +456,56 @@ SQL |= {
     "alias_resolve": f"WITH {_B} SELECT raw_exchange, exchange, count(*) AS n FROM res GROUP BY 1, 2",
     "unmapped_values": f"WITH {_B} SELECT DISTINCT raw_exchange FROM res WHERE exchange IS NULL",
     "missing_evidence": f"WITH {_B} SELECT security FROM securities ANTI JOIN (SELECT * FROM obs WHERE run = 7) USING (security)",
-    "run_scope_semi": f"WITH {_B} SELECT DISTINCT observation FROM obs WHERE issuer IN (SELECT issuer FROM obs WHERE run = 7 AND issuer % 40 = 0) OR security IN (SELECT security FROM obs WHERE run = 7 AND security % 300 = 0) OR observation % 1000 = 1",
+    "run_scope_semi": (
+        f"WITH {_B} SELECT DISTINCT observation FROM obs WHERE issuer IN (SELECT issuer FROM obs WHERE run = 7 AND issuer % 40 = 0) OR "
+        f"security IN (SELECT security FROM obs WHERE run = 7 AND security % 300 = 0) OR observation % 1000 = 1"
+    ),
     "unreconciled_obs": f"WITH {_B} SELECT observation FROM obs o WHERE run <= 2 AND NOT EXISTS (SELECT 1 FROM obs e WHERE e.run = 3 AND e.security = o.security AND e.seen >= o.seen)",
-    "orphans": f"WITH {_B} SELECT run, count(*) AS orphans FROM obs o LEFT JOIN (SELECT issuer, 1 AS i FROM issuers WHERE issuer % 19 <> 0) USING (issuer) LEFT JOIN (SELECT listing, 1 AS l FROM act) USING (listing) WHERE i IS NULL OR (listing IS NOT NULL AND l IS NULL) GROUP BY 1",
+    "orphans": (
+        f"WITH {_B} SELECT run, count(*) AS orphans FROM obs o LEFT JOIN (SELECT issuer, 1 AS i FROM issuers WHERE issuer % 19 <> 0) USING "
+        f"(issuer) LEFT JOIN (SELECT listing, 1 AS l FROM act) USING (listing) WHERE i IS NULL OR (listing IS NOT NULL AND l IS NULL) GROUP "
+        f"BY 1"
+    ),
     "id_mismatch": f"WITH {_B} SELECT key, n FROM ({_C['observation_cik_issuer_identifier_mismatch']})",
     "ticker_mismatch": f"WITH {_B} SELECT security, count(*) AS n FROM obs o JOIN securities s USING (security) WHERE run >= 6 GROUP BY 1 HAVING NOT bool_or(o.ticker = s.ticker)",
-    "successor_asof": f"WITH {_B} SELECT DISTINCT observation, issuer, seen, CASE WHEN issuer NOT IN (SELECT issuer FROM issuers) THEN NULL WHEN seen >= DATE '1999-01-01' THEN 1999 WHEN seen >= DATE '1997-01-01' THEN 1997 WHEN seen >= DATE '1995-01-01' THEN 1995 END AS successor FROM obs WHERE run = 1",
+    "successor_asof": (
+        f"WITH {_B} SELECT DISTINCT observation, issuer, seen, CASE WHEN issuer NOT IN (SELECT issuer FROM issuers) THEN NULL WHEN seen >= "
+        f"DATE '1999-01-01' THEN 1999 WHEN seen >= DATE '1997-01-01' THEN 1997 WHEN seen >= DATE '1995-01-01' THEN 1995 END AS successor "
+        f"FROM obs WHERE run = 1"
+    ),
     "entity_counts": f"WITH {_B} SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in ("issuer", "security", "listing", "cik", "ticker", "raw_exchange")) + " FROM obs",
-    "market_snapshot": f"WITH {_B} SELECT exchange, count(DISTINCT issuer) AS issuers, count(DISTINCT security) AS securities, count(DISTINCT listing) AS listings, count(DISTINCT security) FILTER (issuer % 2 = 0) AS even_securities FROM named GROUP BY 1",
-    "coverage_sets": f"WITH {_B} SELECT security, string_agg(DISTINCT raw_exchange, ',' ORDER BY raw_exchange) AS exchanges, coalesce(string_agg(DISTINCT cik, ',' ORDER BY cik) FILTER (run >= 6), '') AS late_ciks FROM obs GROUP BY 1",
+    "market_snapshot": (
+        f"WITH {_B} SELECT exchange, count(DISTINCT issuer) AS issuers, count(DISTINCT security) AS securities, count(DISTINCT listing) AS "
+        f"listings, count(DISTINCT security) FILTER (issuer % 2 = 0) AS even_securities FROM named GROUP BY 1"
+    ),
+    "coverage_sets": (
+        f"WITH {_B} SELECT security, string_agg(DISTINCT raw_exchange, ',' ORDER BY raw_exchange) AS exchanges, "
+        f"coalesce(string_agg(DISTINCT cik, ',' ORDER BY cik) FILTER (run >= 6), '') AS late_ciks FROM obs GROUP BY 1"
+    ),
     "nested_children": "SELECT l_orderkey, '[' || string_agg('{\"n\":' || l_linenumber || ',\"p\":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey) || ']' AS children FROM lineitem GROUP BY 1",
     "evidence_derive": f"{_EVID} SELECT * FROM ev",
     "confidence_score": f"""{_EVID}, p AS (SELECT *, n_snapshots >= 3 AND span_days >= 30 AS enough FROM ev),
-        q AS (SELECT subject, CAST(CASE WHEN cik_match THEN 25 ELSE 0 END + CASE WHEN ticker_stable AND enough THEN 25 ELSE 0 END + CASE WHEN exchange_stable AND enough THEN 20 ELSE 0 END AS INTEGER) AS points, concat_ws(',', CASE WHEN conflicts > 0 THEN 'CONFLICT' END, CASE WHEN NOT enough THEN 'INSUFFICIENT_EVIDENCE' END) AS blockers FROM p)
+        q AS (SELECT subject, CAST(CASE WHEN cik_match THEN 25 ELSE 0 END + CASE WHEN ticker_stable AND enough THEN 25 ELSE 0 END + CASE WHEN
+          exchange_stable AND enough THEN 20 ELSE 0 END AS INTEGER) AS points, concat_ws(',', CASE WHEN conflicts > 0 THEN 'CONFLICT' END, CASE WHEN
+          NOT enough THEN 'INSUFFICIENT_EVIDENCE' END) AS blockers FROM p)
         SELECT *, CASE WHEN contains(blockers, 'CONFLICT') THEN 'REFUSED' WHEN points >= 70 THEN 'HIGH' WHEN points >= 45 THEN 'MEDIUM' ELSE 'LOW' END AS level FROM q""",
-    "entity_resolve": f"WITH {_B} SELECT cik, issuer, greatest(last_seen, DATE '1999-01-01') AS last_seen FROM (SELECT cik, max(seen) AS last_seen FROM obs GROUP BY 1) LEFT JOIN (SELECT cik, min(issuer) AS issuer FROM issuers WHERE cik IS NOT NULL GROUP BY 1) USING (cik)",
-    "listing_resolve": f"WITH {_B} SELECT i.listing, CASE WHEN n.ticker IS NULL THEN 'CREATE' WHEN n.ticker = i.ticker THEN 'SAME' ELSE 'BLOCKED' END AS decision FROM (SELECT listing, min(ticker) AS ticker FROM obs WHERE run = 6 AND listing IS NOT NULL GROUP BY 1) i LEFT JOIN named n USING (listing)",
+    "entity_resolve": (
+        f"WITH {_B} SELECT cik, issuer, greatest(last_seen, DATE '1999-01-01') AS last_seen FROM (SELECT cik, max(seen) AS last_seen FROM "
+        f"obs GROUP BY 1) LEFT JOIN (SELECT cik, min(issuer) AS issuer FROM issuers WHERE cik IS NOT NULL GROUP BY 1) USING (cik)"
+    ),
+    "listing_resolve": (
+        f"WITH {_B} SELECT i.listing, CASE WHEN n.ticker IS NULL THEN 'CREATE' WHEN n.ticker = i.ticker THEN 'SAME' ELSE 'BLOCKED' END AS "
+        f"decision FROM (SELECT listing, min(ticker) AS ticker FROM obs WHERE run = 6 AND listing IS NOT NULL GROUP BY 1) i LEFT JOIN named "
+        f"n USING (listing)"
+    ),
     "dq_counters": f"{_DQ} SELECT * FROM dq",
     "dq_findings": f"{_DQ} " + " UNION ALL ".join(f"SELECT '{k}' AS code, {k} AS n, CASE WHEN {k} > 0 THEN '{s}' ELSE 'PASS' END AS status FROM dq" for k, s in (("missing_cik", "WARN"), ("missing_name", "FAIL"), ("missing_listing", "WARN"), ("late", "FAIL"))),
-    "snapshot_diff": "WITH e AS (SELECT event_type AS source, CAST(ts AS DATE) AS d, count(*) AS size, count(*) % 3 AS sha FROM events GROUP BY 1, 2), l AS (SELECT *, lag(sha) OVER w AS bs, lag(size) OVER w AS bz, row_number() OVER (PARTITION BY source ORDER BY d DESC) AS k FROM e WINDOW w AS (PARTITION BY source ORDER BY d)) SELECT source, CASE WHEN bs IS NULL THEN 'UNKNOWN' WHEN sha = bs THEN 'UNCHANGED' ELSE 'CHANGED' END AS change, size - bz AS size_delta FROM l WHERE k = 1",
+    "snapshot_diff": (
+        "WITH e AS (SELECT event_type AS source, CAST(ts AS DATE) AS d, count(*) AS size, count(*) % 3 AS sha FROM events GROUP BY 1, 2), "
+        "l AS (SELECT *, lag(sha) OVER w AS bs, lag(size) OVER w AS bz, row_number() OVER (PARTITION BY source ORDER BY d DESC) AS k FROM "
+        "e WINDOW w AS (PARTITION BY source ORDER BY d)) SELECT source, CASE WHEN bs IS NULL THEN 'UNKNOWN' WHEN sha = bs THEN 'UNCHANGED' "
+        "ELSE 'CHANGED' END AS change, size - bz AS size_delta FROM l WHERE k = 1"
+    ),
     "entity_deltas": f"{_DELTA} SELECT * FROM d",
     "zero_delta": f"{_DELTA} SELECT o_orderstatus, CASE WHEN created > 0 THEN 'HAS_DELTA' WHEN before = 0 THEN 'NEVER_SEEN' ELSE 'NO_CHANGE' END AS reason FROM d",
     "expired_objects": "SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) + 365 < DATE '1996-06-01' AND o_orderkey > 100 ORDER BY o_orderkey LIMIT 200",
@@ -462,18 +520,30 @@ SQL |= {
     "provenance_merge": """WITH f AS (SELECT user_id, event_type, min(event_id) AS first, max(event_id) AS last, count(*) AS n FROM events GROUP BY 1, 2)
         SELECT user_id, max(last) AS newest, string_agg(event_type, ',' ORDER BY first) AS origins, CAST(sum(n) AS BIGINT) AS n FROM f GROUP BY 1""",
     "evidence_coverage": f"""WITH {_B}, e AS (SELECT observation, CASE WHEN run % 4 <> 1 THEN listing END AS listing, CASE WHEN run % 3 <> 1 THEN security END AS security, CASE WHEN run % 2 = 0 THEN issuer END AS issuer FROM obs)
-        SELECT target, CAST(n AS BIGINT) AS n FROM (SELECT 'rows:' || CASE WHEN listing IS NOT NULL THEN 'listing' WHEN security IS NOT NULL THEN 'security' WHEN issuer IS NOT NULL THEN 'issuer' ELSE 'none' END AS target, count(*) AS n FROM e GROUP BY 1
-        UNION ALL SELECT 'observations:issuer', count(DISTINCT observation) FILTER (issuer IS NOT NULL) FROM e UNION ALL SELECT 'observations:security', count(DISTINCT observation) FILTER (security IS NOT NULL) FROM e
+        SELECT target, CAST(n AS BIGINT) AS n FROM (SELECT 'rows:' || CASE WHEN listing IS NOT NULL THEN 'listing' WHEN security IS NOT NULL THEN
+          'security' WHEN issuer IS NOT NULL THEN 'issuer' ELSE 'none' END AS target, count(*) AS n FROM e GROUP BY 1
+        UNION ALL SELECT 'observations:issuer', count(DISTINCT observation) FILTER (issuer IS NOT NULL) FROM e UNION ALL SELECT
+          'observations:security', count(DISTINCT observation) FILTER (security IS NOT NULL) FROM e
         UNION ALL SELECT 'observations:listing', count(DISTINCT observation) FILTER (listing IS NOT NULL) FROM e)""",
     "audit_inserts": f"""{_AUDIT_BASE}, j AS (SELECT i.*, s.open AS so, s.close AS sc, s.there FROM incoming i LEFT JOIN (SELECT *, true AS there FROM stored) s USING (listing, trading_date)),
         k2 AS (SELECT CASE WHEN there IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action, CASE WHEN there THEN unnest(['open', 'close']) ELSE NULL END AS field, * FROM j)
-        SELECT action, field, count(*) AS entries FROM (SELECT DISTINCT action, field, listing, trading_date FROM k2 WHERE there IS NULL OR (field = 'open' AND open IS DISTINCT FROM so) OR (field = 'close' AND close IS DISTINCT FROM sc)) GROUP BY 1, 2""",
+        SELECT action, field, count(*) AS entries FROM (SELECT DISTINCT action, field, listing, trading_date FROM k2 WHERE there IS NULL OR (field
+          = 'open' AND open IS DISTINCT FROM so) OR (field = 'close' AND close IS DISTINCT FROM sc)) GROUP BY 1, 2""",
     "nested_regroup": "SELECT user_id, CAST(ts AS DATE) AS day, '[' || string_agg('{\"e\":' || event_id || ',\"t\":\"' || event_type || '\"}', ',' ORDER BY event_id) || ']' AS items FROM events GROUP BY 1, 2",
     "provider_pivot": "SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS \"{t}\"" for t in TYPES) + " FROM events GROUP BY 1",
-    "outcome_join": "SELECT o_orderkey, o_orderstatus, returned FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (o_orderkey)",
-    "success_rate": "WITH r AS (SELECT o_orderpriority, round(coalesce(count(*) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus IN ('F', 'O')), 0), 1.0), 6) AS rate FROM orders GROUP BY 1) SELECT o_orderpriority, rate, rate >= 0.5 AS passed FROM r",
+    "outcome_join": (
+        "SELECT o_orderkey, o_orderstatus, returned FROM orders LEFT JOIN (SELECT l_orderkey AS o_orderkey, count(*) AS returned FROM "
+        "lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (o_orderkey)"
+    ),
+    "success_rate": (
+        "WITH r AS (SELECT o_orderpriority, round(coalesce(count(*) FILTER (o_orderstatus = 'F') / nullif(count(*) FILTER (o_orderstatus "
+        "IN ('F', 'O')), 0), 1.0), 6) AS rate FROM orders GROUP BY 1) SELECT o_orderpriority, rate, rate >= 0.5 AS passed FROM r"
+    ),
     "lenient_filter": "WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS size FROM part) SELECT * FROM s WHERE coalesce(size >= 20, true)",
-    "scope_filter": f"WITH {BARS_SQL} SELECT listing, trading_date, close FROM bars WHERE market IN ('ASIA', 'EUROPE') AND trading_date BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' AND listing <> 8",
+    "scope_filter": (
+        f"WITH {BARS_SQL} SELECT listing, trading_date, close FROM bars WHERE market IN ('ASIA', 'EUROPE') AND trading_date BETWEEN DATE "
+        f"'1996-01-01' AND DATE '1996-06-30' AND listing <> 8"
+    ),
     "eligible_listings": f"WITH {BARS_SQL} SELECT listing, market FROM listings WHERE market = 'ASIA' OR (listing % 3 = 0 AND market <> 'AFRICA') OR listing IN (1, 2)",
     "subject_support": f"WITH {BARS_SQL} SELECT listing, market IN ('AMERICA', 'EUROPE') AS supported FROM listings",
     "resolve_benchmark": f"WITH {BARS_SQL} SELECT market, CAST(min(listing) AS INTEGER) AS listing FROM listings WHERE listing % 25 = 3 GROUP BY 1",

@@ -15,6 +15,7 @@ from ..sources.adapters import BARS_SQL
 KEY = ["listing", "trading_date"]
 PRICE_DIGITS, SHARE_DIGITS, MEAN_DIGITS = 4, 8, 6
 
+# Names of the 76 features, by the query that gives them, and the digits that results are compared to.
 RETURNS = [f"return_{n}d_pct" for n in ti.RETURN_LAGS]
 DIGITS: dict[str, dict[str, int]] = {
     "ti_returns": dict.fromkeys(RETURNS, 8),
@@ -169,7 +170,10 @@ def _ema_sql():
           UNION ALL SELECT x.listing, x.trading_date, x.i, r.ema_{n} + (x.close - r.ema_{n}) * (2.0::DOUBLE / {n + 1}) FROM e{n} r JOIN numbered x ON x.listing = r.listing AND x.i = r.i + 1)""")
         parts.append(f"LEFT JOIN (SELECT listing, trading_date, ema_{n} FROM e{n}) USING (listing, trading_date)")
     cols = ", ".join(f"round(ema_{n}, 4) AS ema_{n}" for n in recurrences.EMA_WINDOWS)
-    return f"WITH RECURSIVE {BARS_SQL}, {_NUMBERED}, {', '.join(ctes)} SELECT listing, trading_date, {cols}, round({_d('close', 'ema_20')}, 8) AS pct_ema_20, round({_d('close', 'ema_50')}, 8) AS pct_ema_50 FROM bars {' '.join(parts)}"
+    return (
+        f"WITH RECURSIVE {BARS_SQL}, {_NUMBERED}, {', '.join(ctes)} SELECT listing, trading_date, {cols}, round({_d('close', 'ema_20')}, 8) "
+        f"AS pct_ema_20, round({_d('close', 'ema_50')}, 8) AS pct_ema_50 FROM bars {' '.join(parts)}"
+    )
 
 
 _TR = "greatest(high - low, abs(high - c1), abs(low - c1))"
@@ -218,7 +222,8 @@ _MACD = (
 
 _OWN = "PARTITION BY listing ORDER BY trading_date"
 _ALIGNED = f"""a0 AS (SELECT b.*, bench_close FROM bars b JOIN bench USING (trading_date)),
-a1 AS (SELECT *, row_number() OVER ({_OWN}) AS aligned_count, {_d('close', f'lag(close) OVER ({_OWN})')} AS own_return, {_d('bench_close', f'lag(bench_close) OVER ({_OWN})')} AS bench_return, close / nullif(bench_close, 0) AS rel_spx FROM a0),
+a1 AS (SELECT *, row_number() OVER ({_OWN}) AS aligned_count, {_d('close', f'lag(close) OVER ({_OWN})')} AS own_return,
+  {_d('bench_close', f'lag(bench_close) OVER ({_OWN})')} AS bench_return, close / nullif(bench_close, 0) AS rel_spx FROM a0),
 a2 AS (SELECT *, aligned_count - max(CASE WHEN own_return IS NULL OR bench_return IS NULL THEN aligned_count END) OVER ({_OWN}) AS valid_count,
        CASE WHEN own_return IS NOT NULL AND bench_return IS NOT NULL THEN 1 END AS paired FROM a1)"""
 
@@ -264,11 +269,19 @@ SQL = {
     ),
     "ti_bollinger": _select(
         "ti_bollinger",
-        f"SELECT *, (close - (sma_20 - 2 * price_stddev_20)) / nullif({_WIDTH}, 0) AS bollinger_percent_b_20_2, {_WIDTH} / nullif(abs(sma_20), 0) AS bollinger_bandwidth_20_2 FROM (SELECT *, {_full('stddev_pop(close)', 'close', 20)} AS price_stddev_20 FROM ({_SMA}) WINDOW w AS ({_W}))",
+        (
+            f"SELECT *, (close - (sma_20 - 2 * price_stddev_20)) / nullif({_WIDTH}, 0) AS bollinger_percent_b_20_2, {_WIDTH} / "
+            f"nullif(abs(sma_20), 0) AS bollinger_bandwidth_20_2 FROM (SELECT *, {_full('stddev_pop(close)', 'close', 20)} AS price_stddev_20 "
+            f"FROM ({_SMA}) WINDOW w AS ({_W}))"
+        ),
     ),
     "ti_volume": _select(
         "ti_volume",
-        f"SELECT *, volume / nullif(volume_avg_20, 0) AS volume_ratio_20 FROM (SELECT *, {_full('avg(volume)', 'volume', 20)} AS volume_avg_20, {_full('avg(volume)', 'volume', 60)} AS volume_avg_60, {_full('avg(dv)', 'dv', 20)} AS dollar_volume_avg_20 FROM (SELECT *, abs(close) * volume AS dv FROM bars) WINDOW w AS ({_W}))",
+        (
+            f"SELECT *, volume / nullif(volume_avg_20, 0) AS volume_ratio_20 FROM (SELECT *, {_full('avg(volume)', 'volume', 20)} AS "
+            f"volume_avg_20, {_full('avg(volume)', 'volume', 60)} AS volume_avg_60, {_full('avg(dv)', 'dv', 20)} AS dollar_volume_avg_20 FROM "
+            f"(SELECT *, abs(close) * volume AS dv FROM bars) WINDOW w AS ({_W}))"
+        ),
     ),
     "ti_streaks": _select(
         "ti_streaks",
@@ -287,7 +300,10 @@ SQL = {
     "bm_beta": _bm(DIGITS["bm_beta"]),
     "bm_correlation": _bm(DIGITS["bm_correlation"]),
     "bm_features": _bm(dict.fromkeys(relative.COLUMNS, 6), "CASE WHEN market <> 'AFRICA' THEN 'ALL_ORDERS' END AS benchmark_id, ", "market <> 'AFRICA'"),
-    "bm_alignment": f"WITH {BARS_SQL}, {_ALIGNED} SELECT listing, trading_date, CAST(aligned_count AS INTEGER) AS aligned_count, CAST(valid_count AS INTEGER) AS valid_count, round(own_return, 8) AS own_return, round(bench_return, 8) AS bench_return FROM a2",
+    "bm_alignment": (
+        f"WITH {BARS_SQL}, {_ALIGNED} SELECT listing, trading_date, CAST(aligned_count AS INTEGER) AS aligned_count, CAST(valid_count AS "
+        f"INTEGER) AS valid_count, round(own_return, 8) AS own_return, round(bench_return, 8) AS bench_return FROM a2"
+    ),
     "aligned_closes": f"WITH {BARS_SQL} SELECT listing, trading_date, close, bench_close FROM bars JOIN bench USING (trading_date)",
     "ti_validate": "SELECT unnest(['rsi_out_of_bounds', 'adx_out_of_bounds', 'high_below_window', 'low_above_window', 'both_streaks', 'ema_copy']) AS rule, CAST(0 AS BIGINT) AS violations",
 }

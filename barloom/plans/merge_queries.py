@@ -219,13 +219,20 @@ _BASE = f"""WITH {BARS_SQL}, k AS (SELECT listing, trading_date, {_F}, listing *
 stored AS (SELECT * EXCLUDE k FROM k WHERE k % 7 <> 0),
 incoming AS (SELECT listing, trading_date, open, high, low, CASE WHEN k % 11 = 0 THEN high ELSE close END AS close, volume FROM k WHERE k % 13 <> 0)"""
 _NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN i.{f} IS DISTINCT FROM s.{f} THEN '{f}' END" for f in merge.BAR_FIELDS) + ")"
-_CMP = f"{_BASE}, cmp AS (SELECT i.listing, i.trading_date, CASE WHEN s.there IS NULL THEN 'INSERTED' WHEN {_NAMES} <> '' THEN 'CORRECTED' ELSE 'UNCHANGED' END AS kind, CASE WHEN s.there IS NULL THEN '' ELSE {_NAMES} END AS differing FROM incoming i LEFT JOIN (SELECT *, true AS there FROM stored) s USING (listing, trading_date))"
+_CMP = (
+    f"{_BASE}, cmp AS (SELECT i.listing, i.trading_date, CASE WHEN s.there IS NULL THEN 'INSERTED' WHEN {_NAMES} <> '' THEN 'CORRECTED' "
+    f"ELSE 'UNCHANGED' END AS kind, CASE WHEN s.there IS NULL THEN '' ELSE {_NAMES} END AS differing FROM incoming i LEFT JOIN (SELECT "
+    f"*, true AS there FROM stored) s USING (listing, trading_date))"
+)
 _DER = ", ".join([
     "round(close - lag(close) OVER w, 8) AS change", "round((close - lag(close) OVER w) / nullif(lag(close) OVER w, 0), 8) AS changepct",
     "round((high + low + close) / 3, 8) AS typ", "round(high - low, 8) AS hl_range", "round(close - open, 8) AS oc_range",
 ])
 _WIN = "WINDOW w AS (PARTITION BY listing ORDER BY trading_date)"
-_SMA = f"sma AS (SELECT listing, trading_date, close, k, round(CASE WHEN count(close) OVER z = 20 THEN avg(close) OVER z END, 6) AS sma_20 FROM k WINDOW z AS (PARTITION BY listing ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"
+_SMA = (
+    f"sma AS (SELECT listing, trading_date, close, k, round(CASE WHEN count(close) OVER z = 20 THEN avg(close) OVER z END, 6) AS sma_20 "
+    f"FROM k WINDOW z AS (PARTITION BY listing ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"
+)
 _FM = f"""{_BASE}, {_SMA}, fs AS (SELECT listing, trading_date, sma_20 * CASE WHEN k % 5 = 0 THEN 1 + 1e-12 ELSE 1.0 END AS sma_20, CASE WHEN k % 9 = 0 THEN close + 5 ELSE close END AS close FROM sma WHERE k % 7 <> 0),
 fi AS (SELECT listing, trading_date, sma_20, close FROM sma WHERE k % 13 <> 0)"""
 
@@ -235,31 +242,45 @@ def _eq(a, b):
 
 
 _STATE = f"""{_BASE}, n AS (SELECT *, row_number() OVER (PARTITION BY listing ORDER BY trading_date) AS n FROM k),
-payload AS (SELECT listing, trading_date, open, CASE WHEN k % 29 = 0 THEN high + 1 ELSE high END AS high, low, close, volume, CASE WHEN listing = 5 AND n > 50 THEN n + 1 ELSE n END AS history_count, CASE WHEN listing % 8 = 0 THEN 'v0' ELSE 'v1' END AS version
+payload AS (SELECT listing, trading_date, open, CASE WHEN k % 29 = 0 THEN high + 1 ELSE high END AS high, low, close, volume, CASE WHEN
+  listing = 5 AND n > 50 THEN n + 1 ELSE n END AS history_count, CASE WHEN listing % 8 = 0 THEN 'v0' ELSE 'v1' END AS version
   FROM n WHERE k % 23 <> 0 AND trading_date < DATE '1998-06-01' AND listing <> 24),
 tail AS (SELECT listing, max(trading_date) AS payload_last FROM payload GROUP BY 1),
-flags AS (SELECT n.listing, n.trading_date, payload_last, p.version IS NULL AND (payload_last IS NULL OR n.trading_date > payload_last) AS tail_append, coalesce(p.version IS NULL AND n.trading_date <= payload_last, false) AS missing,
-  p.version IS NOT NULL AND (n.open, n.high, n.low, n.close, n.volume) IS DISTINCT FROM (p.open, p.high, p.low, p.close, p.volume) AS source_drift, coalesce(p.version IS NOT NULL AND history_count <> n, false) AS history_drift, coalesce(version <> 'v1', false) AS version_drift
+flags AS (SELECT n.listing, n.trading_date, payload_last, p.version IS NULL AND (payload_last IS NULL OR n.trading_date > payload_last) AS
+  tail_append, coalesce(p.version IS NULL AND n.trading_date <= payload_last, false) AS missing,
+  p.version IS NOT NULL AND (n.open, n.high, n.low, n.close, n.volume) IS DISTINCT FROM (p.open, p.high, p.low, p.close, p.volume) AS
+    source_drift, coalesce(p.version IS NOT NULL AND history_count <> n, false) AS history_drift, coalesce(version <> 'v1', false) AS
+    version_drift
   FROM n LEFT JOIN payload p USING (listing, trading_date) LEFT JOIN tail USING (listing)),
 state AS (SELECT listing, count(*) AS source_bars, min(trading_date) AS source_first, max(trading_date) AS source_last, max(payload_last) AS payload_last, """ + ", ".join(f"count(*) FILTER ({r}) AS {r}, min(trading_date) FILTER ({r}) AS {r}_from" for r in planning.COMPARED) + " FROM flags GROUP BY 1)"
 _PUB = f"""{_BASE}, {_SMA}, member AS (SELECT listing, CASE WHEN listing % 3 = 0 THEN 'B' ELSE 'A' END AS slot FROM listings WHERE listing <> 7),
-pub AS (SELECT listing, trading_date, slot, sma_20, close FROM (SELECT listing, trading_date, 'A' AS slot, sma_20, close FROM sma WHERE listing % 4 <> 1 UNION ALL SELECT listing, trading_date, 'B', sma_20, close + 1 FROM sma WHERE listing % 4 <> 2) JOIN member USING (listing, slot)),
+pub AS (SELECT listing, trading_date, slot, sma_20, close FROM (SELECT listing, trading_date, 'A' AS slot, sma_20, close FROM sma WHERE
+  listing % 4 <> 1 UNION ALL SELECT listing, trading_date, 'B', sma_20, close + 1 FROM sma WHERE listing % 4 <> 2) JOIN member USING
+  (listing, slot)),
 cover AS (SELECT listing, count(*) AS rows, count(sma_20) AS populated, min(trading_date) AS first_date, max(trading_date) AS last_date, string_agg(DISTINCT slot, ',') AS slots FROM pub GROUP BY 1)"""
 SQL = {
     "bar_compare": f"{_CMP} SELECT * FROM cmp",
     "source_copy_drift": f"{_BASE} SELECT listing, count(*) AS drifted, min(trading_date) AS since FROM incoming i JOIN stored s USING (listing, trading_date) WHERE {_NAMES} <> '' GROUP BY 1",
     "bar_derived": f"{_BASE} SELECT listing, trading_date, {_DER} FROM stored {_WIN}",
-    "bar_upsert": f"{_BASE}, m AS (SELECT * FROM incoming UNION ALL SELECT * FROM stored ANTI JOIN incoming USING (listing, trading_date)) SELECT listing, trading_date, close, volume, {_DER} FROM m {_WIN}",
+    "bar_upsert": (
+        f"{_BASE}, m AS (SELECT * FROM incoming UNION ALL SELECT * FROM stored ANTI JOIN incoming USING (listing, trading_date)) SELECT "
+        f"listing, trading_date, close, volume, {_DER} FROM m {_WIN}"
+    ),
     "recon_summary": f"{_CMP} SELECT count(*) FILTER (kind = 'INSERTED') AS inserted, count(*) FILTER (kind = 'CORRECTED') AS corrected, count(*) FILTER (kind = 'UNCHANGED') AS unchanged, " + ", ".join(f"count(*) FILTER (list_contains(string_split(differing, ','), '{f}')) AS {f}_differs" for f in merge.BAR_FIELDS) + " FROM cmp",
     "dup_classify": """WITH g AS (SELECT l_partkey, l_suppkey, count(*) AS n, concat_ws(',', CASE WHEN count(DISTINCT l_returnflag) > 1 THEN 'l_returnflag' END, CASE WHEN count(DISTINCT l_linestatus) > 1 THEN 'l_linestatus' END, CASE WHEN count(DISTINCT l_linenumber) > 1 THEN 'l_linenumber' END) AS differing FROM lineitem GROUP BY 1, 2)
         SELECT l_partkey, l_suppkey, n, CASE WHEN n = 1 THEN 'SINGLE' WHEN differing = '' THEN 'IDENTICAL' ELSE 'CONFLICT' END AS kind, differing FROM g""",
     "symbol_merge": """WITH p AS (SELECT p_partkey % 500 AS code, nullif(trim(p_brand), '') AS b, nullif(trim(CASE WHEN p_size > 25 THEN p_type ELSE '  ' END), '') AS t FROM part)
-        SELECT code, CASE WHEN count(DISTINCT b) <= 1 THEN min(b) END AS p_brand, CASE WHEN count(DISTINCT t) <= 1 THEN min(t) END AS p_type, concat_ws(',', CASE WHEN count(DISTINCT b) > 1 THEN 'p_brand' END, CASE WHEN count(DISTINCT t) > 1 THEN 'p_type' END) AS conflicts FROM p GROUP BY 1""",
+        SELECT code, CASE WHEN count(DISTINCT b) <= 1 THEN min(b) END AS p_brand, CASE WHEN count(DISTINCT t) <= 1 THEN min(t) END AS p_type,
+          concat_ws(',', CASE WHEN count(DISTINCT b) > 1 THEN 'p_brand' END, CASE WHEN count(DISTINCT t) > 1 THEN 'p_type' END) AS conflicts FROM p
+          GROUP BY 1""",
     "quote_reconcile": "WITH o AS (SELECT DISTINCT o_custkey AS k, 1 AS e FROM orders WHERE o_custkey % 3 <> 0), c AS (SELECT c_custkey AS k, 1 AS f FROM customer WHERE c_custkey % 5 <> 0) SELECT count(*) FILTER (e = 1 AND f = 1) AS \"both\", count(*) FILTER (f IS NULL) AS only_expected, count(*) FILTER (e IS NULL) AS only_found FROM o FULL JOIN c USING (k)",
     "bar_validate": f"""{_BASE}, b AS (SELECT listing, trading_date, CASE WHEN k % 41 = 0 THEN 'nan'::DOUBLE WHEN k % 43 = 0 THEN 'inf'::DOUBLE ELSE open END AS open, CASE WHEN k % 17 = 0 THEN low - 1 ELSE high END AS high, low, close, CASE WHEN k % 19 = 0 THEN -1 ELSE volume END AS volume FROM k),
-        v AS (SELECT listing, trading_date, CASE WHEN NOT isfinite(open) THEN 'not_finite' ELSE concat_ws(',', CASE WHEN high < low OR high < open OR high < close THEN 'high_below' END, CASE WHEN low > open OR low > close THEN 'low_above' END, CASE WHEN volume < 0 THEN 'negative_volume' END) END AS violations FROM b) SELECT * FROM v WHERE violations <> ''""",
+        v AS (SELECT listing, trading_date, CASE WHEN NOT isfinite(open) THEN 'not_finite' ELSE concat_ws(',', CASE WHEN high < low OR high < open
+          OR high < close THEN 'high_below' END, CASE WHEN low > open OR low > close THEN 'low_above' END, CASE WHEN volume < 0 THEN
+          'negative_volume' END) END AS violations FROM b) SELECT * FROM v WHERE violations <> ''""",
     "feature_merge": f"""{_FM}, j AS (SELECT listing, trading_date, i.sma_20 AS ia, i.close AS ic, s.sma_20 AS sa, s.close AS sc, CASE WHEN i.close IS NULL THEN 'KEEP' WHEN s.close IS NULL THEN 'INSERT' WHEN {_eq('i.sma_20', 's.sma_20')} AND {_eq('i.close', 's.close')} THEN 'UNCHANGED' ELSE 'UPDATE' END AS kind FROM fi i FULL JOIN fs s USING (listing, trading_date))
-        SELECT listing, trading_date, round(CASE WHEN kind IN ('INSERT', 'UPDATE') THEN ia ELSE sa END, 5) AS sma_20, CASE WHEN kind IN ('INSERT', 'UPDATE') THEN ic ELSE sc END AS close, kind FROM j""",
+        SELECT listing, trading_date, round(CASE WHEN kind IN ('INSERT', 'UPDATE') THEN ia ELSE sa END, 5) AS sma_20, CASE WHEN kind IN ('INSERT',
+          'UPDATE') THEN ic ELSE sc END AS close, kind FROM j""",
     "float_equiv": f"{_FM} SELECT listing, trading_date, {_eq('i.sma_20', 's.sma_20')} AS same_sma, {_eq('i.close', 's.close')} AS same_close FROM fi i JOIN fs s USING (listing, trading_date)",
     "insert_absent": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, 'NEW' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0",
     "listing_upsert": """WITH n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'UNKNOWN' WHEN c_custkey % 10 = 0 THEN NULL ELSE 'NEW' END AS v FROM customer WHERE c_custkey % 2 = 0), s AS (SELECT c_custkey, c_mktsegment AS v FROM customer WHERE c_custkey % 3 = 0)
@@ -268,7 +289,11 @@ SQL = {
     "latest_per_key": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1",
     "latest_run": "SELECT event_id, user_id FROM events WHERE event_type = 'purchase' ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 1",
     "keyset_page": f"WITH {BARS_SQL} SELECT listing, trading_date, close FROM raw_bars WHERE (listing, trading_date) > (3, DATE '1995-06-30') ORDER BY listing, trading_date LIMIT 500",
-    "scd2_history": "WITH c AS (SELECT user_id, event_type, event_id FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) WHERE b IS DISTINCT FROM event_type) SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to FROM c",
+    "scd2_history": (
+        "WITH c AS (SELECT user_id, event_type, event_id FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS "
+        "b FROM events) WHERE b IS DISTINCT FROM event_type) SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER "
+        "(PARTITION BY user_id ORDER BY event_id) AS valid_to FROM c"
+    ),
     "state_comparison": f"{_STATE} SELECT * FROM state",
     "published_view": f"{_PUB} SELECT * FROM pub",
     "published_coverage": f"{_PUB} SELECT * FROM cover",
@@ -278,7 +303,18 @@ SQL = {
     "feature_ranking": f"{_BASE}, {_SMA} SELECT listing, trading_date, sma_20 AS value FROM sma ORDER BY value DESC NULLS LAST, listing, trading_date LIMIT 12",
     "history_count": f"WITH {BARS_SQL} SELECT listing, trading_date, CAST(row_number() OVER (PARTITION BY listing ORDER BY trading_date) AS INTEGER) AS history_count FROM raw_bars",
     "history_coverage": f"WITH {BARS_SQL}, c AS (SELECT listing, CAST(count(*) // 50 * 50 AS BIGINT) AS history FROM raw_bars GROUP BY 1) SELECT history, count(*) AS listings FROM c GROUP BY 1",
-    "dimension_coverage": f"WITH {BARS_SQL} SELECT market AS value, count(*) AS rows, count(DISTINCT listing) AS listings, 'market' AS dimension FROM bars GROUP BY 1 UNION ALL SELECT ticker, count(*), count(DISTINCT listing), 'ticker' FROM bars GROUP BY 1 UNION ALL SELECT CAST(year(trading_date) AS VARCHAR), count(*), count(DISTINCT listing), 'year' FROM bars GROUP BY 1",
-    "report_summary": f"{_PUB} SELECT count(*) AS rows, count(sma_20) AS populated, min(trading_date) AS first_date, max(trading_date) AS last_date, (SELECT count(*) FROM cover) AS listings, (SELECT max(rows) FROM cover) AS longest FROM pub",
-    "top_n_other": "WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1), k AS (SELECT p_brand FROM c ORDER BY n DESC, p_brand LIMIT 8) SELECT CASE WHEN p_brand IN (SELECT p_brand FROM k) THEN p_brand ELSE 'OTHER' END AS p_brand, CAST(sum(n) AS BIGINT) AS count FROM c GROUP BY 1",
+    "dimension_coverage": (
+        f"WITH {BARS_SQL} SELECT market AS value, count(*) AS rows, count(DISTINCT listing) AS listings, 'market' AS dimension FROM bars "
+        f"GROUP BY 1 UNION ALL SELECT ticker, count(*), count(DISTINCT listing), 'ticker' FROM bars GROUP BY 1 UNION ALL SELECT "
+        f"CAST(year(trading_date) AS VARCHAR), count(*), count(DISTINCT listing), 'year' FROM bars GROUP BY 1"
+    ),
+    "report_summary": (
+        f"{_PUB} SELECT count(*) AS rows, count(sma_20) AS populated, min(trading_date) AS first_date, max(trading_date) AS last_date, "
+        f"(SELECT count(*) FROM cover) AS listings, (SELECT max(rows) FROM cover) AS longest FROM pub"
+    ),
+    "top_n_other": (
+        "WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1), k AS (SELECT p_brand FROM c ORDER BY n DESC, p_brand LIMIT 8) "
+        "SELECT CASE WHEN p_brand IN (SELECT p_brand FROM k) THEN p_brand ELSE 'OTHER' END AS p_brand, CAST(sum(n) AS BIGINT) AS count "
+        "FROM c GROUP BY 1"
+    ),
 }

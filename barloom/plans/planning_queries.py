@@ -41,7 +41,8 @@ d AS (SELECT *, {', '.join(f'{_since(r)} AS d_{r}' for r in _OWN)} FROM h WHERE
 o AS (SELECT *, coalesce({', '.join(f'd_{r}' for r in _OWN)}) IS NOT NULL AS other FROM d),
 b AS (SELECT *, CASE WHEN supported AND source_first <= DATE '{DRIFT}'
   AND DATE '{DRIFT}' <= CASE WHEN active OR other THEN horizon WHEN payload_last IS NOT NULL THEN least(horizon, payload_last) END THEN DATE '{DRIFT}' END AS d_benchmark_drift FROM o),
-w AS (SELECT *, least({', '.join(f'd_{r}' for r in planning.REASONS)}) AS write_start, CASE WHEN NOT active AND NOT other AND payload_last IS NOT NULL THEN least(horizon, payload_last) ELSE horizon END AS until FROM b),
+w AS (SELECT *, least({', '.join(f'd_{r}' for r in planning.REASONS)}) AS write_start, CASE WHEN NOT active AND NOT other AND payload_last
+  IS NOT NULL THEN least(horizon, payload_last) ELSE horizon END AS until FROM b),
 e AS (SELECT *, least(CASE WHEN write_start <= payload_last THEN greatest(until, payload_last) ELSE until END, source_last) AS write_end FROM w)
 SELECT listing, source_first AS calculation_start, write_start, write_end, concat_ws(',', {', '.join(f"CASE WHEN d_{r} IS NOT NULL THEN '{r}' END" for r in planning.REASONS)}) AS reasons
 FROM e WHERE write_start <= write_end"""
@@ -127,9 +128,11 @@ def model_inputs(spark, sf_dir):
 
 
 _WITHHELD = f"""WITH {BARS_SQL}, own AS (SELECT market AS scope, count(*) FILTER (EXISTS (SELECT 1 FROM raw_bars b WHERE b.listing = l.listing AND trading_date = DATE '{ON}')) AS rows,
-  bool_or(listing % 3 = 0) AS third, bool_or(listing % 2 = 0) AS even, bool_or(listing % 2 = 1) AS odd, bool_or(listing % 3 <> 0) AS member FROM listings l WHERE listing IN (SELECT listing FROM raw_bars) GROUP BY 1),
+  bool_or(listing % 3 = 0) AS third, bool_or(listing % 2 = 0) AS even, bool_or(listing % 2 = 1) AS odd, bool_or(listing % 3 <> 0) AS member
+    FROM listings l WHERE listing IN (SELECT listing FROM raw_bars) GROUP BY 1),
 w AS (SELECT scope, rows, concat_ws(',', CASE WHEN scope = 'EUROPE' AND third THEN 'NO_ACTIVE_PUBLICATION' END, CASE WHEN scope = 'MIDDLE EAST' THEN 'COVERAGE_INCOMPLETE' END,
-  CASE WHEN scope = 'AMERICA' AND odd THEN 'VERSION_MISMATCH' END, CASE WHEN scope = 'AMERICA' OR (scope = 'AFRICA' AND even) THEN 'SOURCE_DRIFT' END, CASE WHEN scope = 'MIDDLE EAST' AND even THEN 'PUBLICATION_NOT_READY' END,
+  CASE WHEN scope = 'AMERICA' AND odd THEN 'VERSION_MISMATCH' END, CASE WHEN scope = 'AMERICA' OR (scope = 'AFRICA' AND even) THEN
+    'SOURCE_DRIFT' END, CASE WHEN scope = 'MIDDLE EAST' AND even THEN 'PUBLICATION_NOT_READY' END,
   CASE WHEN scope = 'EUROPE' AND member THEN 'BENCHMARK_MISMATCH' END, CASE WHEN scope = 'AMERICA' THEN 'SPX_COVERAGE_INCOMPLETE' END) AS reasons FROM own
   UNION ALL SELECT 'NOWHERE', 0, 'SCOPE_MISMATCH')"""
 _INPUTS = f"""{_WITHHELD}, f AS (SELECT market AS scope, listing, trading_date, round(close / nullif(lag(close) OVER w, 0) - 1, 8) AS return_1d_pct,

@@ -208,13 +208,18 @@ SQL = {
     "scan_symbols": """SELECT CASE WHEN p_partkey % 7 <> 0 THEN 'P' || p_partkey END AS code, CASE WHEN p_partkey % 5 <> 0 THEN nullif(trim(p_brand), '') END AS name, CASE WHEN p_partkey % 3 <> 0 THEN 'EQUITY' END AS type,
         CASE WHEN p_partkey % 2 = 0 THEN 'USD' END AS currency, CASE WHEN p_partkey % 7 = 0 THEN 'code' ELSE '' END AS reasons FROM part""",
     "scan_chart": f"""{_K}, g AS (SELECT CASE listing % 9 WHEN 1 THEN NULL ELSE ticker END AS ticker, CASE listing % 9 WHEN 1 THEN 'payload' WHEN 2 THEN 'shape' WHEN 3 THEN 'time_zone' ELSE '' END AS reasons, listing, trading_date, close FROM k)
-        SELECT ticker, reasons, CASE WHEN reasons IN ('payload', 'shape') THEN count(DISTINCT listing) ELSE count(*) END AS rows, CASE WHEN reasons NOT IN ('payload', 'shape') THEN min(trading_date) END AS first_date,
-        CASE WHEN reasons NOT IN ('payload', 'shape') THEN max(trading_date) END AS last_date, CASE WHEN reasons NOT IN ('payload', 'shape') THEN round(sum(close), 2) END AS close FROM g GROUP BY 1, 2""",
+        SELECT ticker, reasons, CASE WHEN reasons IN ('payload', 'shape') THEN count(DISTINCT listing) ELSE count(*) END AS rows, CASE WHEN reasons
+          NOT IN ('payload', 'shape') THEN min(trading_date) END AS first_date,
+        CASE WHEN reasons NOT IN ('payload', 'shape') THEN max(trading_date) END AS last_date, CASE WHEN reasons NOT IN ('payload', 'shape') THEN
+          round(sum(close), 2) END AS close FROM g GROUP BY 1, 2""",
     "scan_history_csv": f"""{_K}, f AS (SELECT market, ticker, {_names(fields='k % 37 = 0', date='k % 29 = 0', price='k % 31 = 0')} AS reasons, CASE WHEN k % 29 <> 0 THEN trading_date END AS d, CASE WHEN k % 31 <> 0 THEN open END AS o FROM k WHERE market <> 'AFRICA')
         SELECT market, ticker, reasons, count(*) AS rows, count(d) AS dates, round(sum(o), 2) AS open FROM f GROUP BY 1, 2, 3 UNION ALL SELECT NULL, 'AFRICA', 'member', 1, 0, NULL""",
     "scan_fields_data": """SELECT CASE WHEN s_suppkey % 6 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS cik, CASE WHEN s_suppkey % 6 <> 0 THEN s_name END AS name, CASE WHEN s_suppkey % 6 <> 0 AND s_suppkey % 4 <> 0 THEN 'N' END AS exchange,
         CASE WHEN s_suppkey % 6 = 0 THEN 'fields' ELSE '' END AS reasons FROM supplier""",
-    "scan_keyed_objects": "SELECT s_suppkey AS n, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS cik, CAST(NULL AS VARCHAR) AS ticker, s_name AS title, CASE WHEN s_suppkey % 5 = 0 THEN 'cik' ELSE '' END AS reasons FROM supplier",
+    "scan_keyed_objects": (
+        "SELECT s_suppkey AS n, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS cik, CAST(NULL AS VARCHAR) AS ticker, "
+        "s_name AS title, CASE WHEN s_suppkey % 5 = 0 THEN 'cik' ELSE '' END AS reasons FROM supplier"
+    ),
     "run_states": f"{_RUNS} SELECT * FROM s",
     "stale_runs": f"{_RUNS} SELECT run_id, job, status, last_at FROM s WHERE status IN ('STARTED', 'HEARTBEAT') AND epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(last_at) > 21600",
     "session_dates": """SELECT event_id, CAST(ts + INTERVAL 9 HOUR AS DATE) AS session, CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR + INTERVAL 15 MINUTE AS eligible_at,
@@ -225,7 +230,8 @@ SQL = {
         CASE WHEN o_orderkey % 4 <> 0 THEN date_trunc('day', o_orderdate) + INTERVAL 90 DAY END AS expires_at FROM orders WHERE o_orderkey % 35 <> 0),
         s AS (SELECT *, k % 5 = 0 AS deleted, coalesce(expires_at, TIMESTAMP '1996-01-01') + INTERVAL 30 DAY AS purge_after FROM o),
         a AS (SELECT *, CASE WHEN deleted AND purge_after <= TIMESTAMP '1997-06-01' THEN 'PURGE' WHEN NOT deleted AND expires_at <= TIMESTAMP '1997-06-01' THEN 'EXPIRE' END AS action FROM s)
-        SELECT object_key, action, CASE WHEN action = 'EXPIRE' THEN TIMESTAMP '1997-06-01' + INTERVAL 7 DAY + CASE WHEN kind = 'report' THEN INTERVAL 60 DAY ELSE INTERVAL 0 DAY END END AS next_purge_after,
+        SELECT object_key, action, CASE WHEN action = 'EXPIRE' THEN TIMESTAMP '1997-06-01' + INTERVAL 7 DAY + CASE WHEN kind = 'report' THEN
+          INTERVAL 60 DAY ELSE INTERVAL 0 DAY END END AS next_purge_after,
         CAST(('0x' || md5(object_key)[1:2]) AS INTEGER) AS bucket FROM a WHERE action IS NOT NULL""",
     "published_runs": f"""{_K} SELECT listing, trading_date, CASE WHEN (listing % 2 = 0) <> (listing % 3 = 0) THEN 'B' ELSE 'A' END AS slot,
         round(close + CASE WHEN listing % 3 = 0 THEN 2 WHEN listing % 2 = 0 THEN 1 ELSE 0 END, 4) AS close FROM k""",

@@ -2,15 +2,7 @@
 
 from __future__ import annotations
 
-
-
-
-PRICE, MEASURE = "decimal(30,10)", "decimal(30,8)"
-
-LISTING = "listing int, market string, ticker string"
-#: One row for each (listing, trading_date).
-BARS = f"{LISTING}, trading_date date, open double, high double, low double, close double, volume double"
-DAILY_BARS = f"provider_listing_id string, trading_date date, open {PRICE}, high {PRICE}, low {PRICE}, close {PRICE}, volume {MEASURE}, change {MEASURE}, changepct {MEASURE}, typ {MEASURE}, hl_range {MEASURE}, oc_range {MEASURE}"
+# Field names and headers as the providers write them.
 QUOTES = "exchangeCode string, symbolCode string, interval string, dateStamp string, open decimal(30,10), high decimal(30,10), low decimal(30,10), close decimal(30,10), volume decimal(30,8), _corrupt_record string"
 SYMBOLS = "code string, name string, type string, currency string"
 HISTORY_CSV = "ticker string, per string, date string, time string, open string, high string, low string, close string, vol string, openint string"

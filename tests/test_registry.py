@@ -28,7 +28,11 @@ def test_entry(spark):
 
 
 #: One query of each kind; tools/compare.py runs them all.
-SOME = ["ti_streaks", "ti_dmi", "bm_alignment", "breadth", "move_buckets", "pull_ranges", "bar_upsert", "state_comparison", "published_view", "dup_classify", "confidence_score", "conflict_cik_name_variants", "duration_parse"]
+SOME = [
+    "affected_ranges", "source_readiness", "model_input_reasons", "model_inputs", "feature_coverage", "scan_quotes", "scan_symbols", "scan_chart", "scan_history_csv", "scan_fields_data",
+    "scan_keyed_objects", "run_states", "stale_runs", "session_dates", "daily_measures", "object_cleanup", "published_runs", "stream_ingest", "audit_inserts", "evidence_coverage", "provenance_merge",
+    "outcome_join", "prior_bar_asof", "friendly_name", "bar_validate", "bar_compare", "bm_features", "ti_streaks", "ti_dmi", "bm_alignment", "breadth", "move_buckets", "pull_ranges", "bar_upsert", "state_comparison", "published_view", "dup_classify", "confidence_score", "conflict_cik_name_variants", "duration_parse",
+]
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
