@@ -66,22 +66,36 @@ def majority(hashes: np.ndarray) -> int:
     return int(packed.view(np.int64)[0])
 
 
+def rehashed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The ``n``-th independent set of hashes of the same shingles; the 0-th are the hashes themselves."""
+    if not n:
+        return hashes
+    z = hashes + np.array([n], np.uint64) * _ODD
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the signed 64-bit fingerprint of each whole text; a text's hashes are in memory at once."""
     return with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, seed).drop("text")
 
 
-def with_fingerprints(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """``rows`` without their ``text``, with ``fp``."""
-    kept = [c for c in rows.columns if c != "text"]
+def with_fingerprints(rows: DataFrame, width: int, seed: int, families: int = 1) -> DataFrame:
+    """``rows`` without their ``text``, with ``fp``, and ``fp1``, ``fp2`` ... of further families of hashes."""
+    kept, names = [c for c in rows.columns if c != "text"], ["fp", *(f"fp{i}" for i in range(1, families))]
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            fps = np.fromiter((majority(shingle_hashes(t, width, seed)) if t else 0 for t in texts), np.int64, len(texts))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps)], [*kept, "fp"])
+            made = np.zeros((families, batch.num_rows), np.int64)
+            for i, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+                if text:
+                    hashes = shingle_hashes(text, width, seed)
+                    for n in range(families):
+                        made[n, i] = majority(rehashed(hashes, n))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *map(pa.array, made)], [*kept, *names])
 
-    return map_batches(rows, run, f"{field_types(rows, kept)}, fp long")
+    return map_batches(rows, run, field_types(rows, kept) + "".join(f", {n} long" for n in names))
 
 
 def ball_masks(bits: int, radius: int) -> np.ndarray:
@@ -275,10 +289,30 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return own.join(by_fp, "fp", "left").select(F.col("doc_id").alias(id_col), "fp", "component_id")
 
 
-def representatives(docs: DataFrame, width: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
+def family_links(own: DataFrame, families: int, radius: int) -> DataFrame:
+    """Edges (a, b) between ``fp`` values whose texts are linked in any family.
+
+    A value of a further family stands for the smallest ``fp`` that it comes
+    with, so its links and its own texts become edges between those.
+    """
+    out = links(materialize(own.select("fp").distinct(), "distinct-fingerprints"), radius)
+    for name in (f"fp{i}" for i in range(1, families)):
+        pairs = materialize(own.select("fp", F.col(name).alias("other")).distinct(), "fingerprint-pairs")
+        first = pairs.groupBy("other").agg(F.min("fp").alias("first"))
+        found = links(first.select(F.col("other").alias("fp")), radius)
+        met = found.join(first.withColumnsRenamed({"other": "a", "first": "x"}), "a").join(first.withColumnsRenamed({"other": "b", "first": "y"}), "b")
+        shared = pairs.join(first, "other").where("fp <> first").select(F.col("fp").alias("a"), F.col("first").alias("b"))
+        out = out.unionByName(met.select(F.col("x").alias("a"), F.col("y").alias("b"))).unionByName(shared)
+    return out
+
+
+def representatives(docs: DataFrame, width: int = 4, seed: int = 42, radius: int = 4, families: int = 1) -> DataFrame:
     """The documents that stay when one of each group stays.  All columns are kept.
 
-    Of each group of ``simhash_groups`` exactly one row stays: the one with the
+    With one family the groups are those of ``simhash_groups``; with more, texts
+    are linked if their fingerprints are within ``radius`` bits in any of
+    ``families`` independent families of hashes, which finds more of the pairs
+    that one family misses.  Of each group exactly one row stays: the one with the
     smallest id, rows without an id after all others, and among rows of one id
     the one whose columns hash lowest.  So rows that share an id but not their
     group are decided one by one, and of rows that are equal in every column one
@@ -290,9 +324,8 @@ def representatives(docs: DataFrame, width: int = 4, seed: int = 42, radius: int
     # 128 bits tell rows apart
     keyed = docs.withColumns({"__a": F.xxhash64(*values), "__b": F.xxhash64(F.lit(1), *values)})
     slim = keyed.select(F.col("doc_id").alias("id"), F.col("__a").alias("a"), F.col("__b").alias("b"), "text")
-    own = materialize(with_fingerprints(slim, width, seed), "fingerprints")
-    distinct = materialize(own.select("fp").distinct(), "distinct-fingerprints")
-    comps = connected_components(links(distinct, radius)).withColumnRenamed("node", "fp")
+    own = materialize(with_fingerprints(slim, width, seed, families), "fingerprints")
+    comps = connected_components(family_links(own, families, radius)).withColumnRenamed("node", "fp")
     # the first row of each fingerprint, then of each component
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "a", "b")).alias("first")
     of_fp = own.groupBy("fp").agg(first).join(comps, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "first")

@@ -67,10 +67,54 @@ def test_simhash_representatives_keep_columns_and_rows_without_id(docs, nothing)
     kept = simhash.representatives(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert ids.count(None) == 2 and ids.count(9) == 1 and 1 in ids and 2 not in ids
+    # rows without an id come after all others: the null text belongs to the empty ones, of which 5 stays
+    assert ids.count(None) == 1 and ids.count(9) == 1 and 1 in ids and 2 not in ids and 5 in ids and not {6, 7} & set(ids)
     assert simhash.representatives(nothing).count() == 0
 
 
+def test_simhash_representatives_of_texts_that_share_an_id(spark):
+    texts = [prose(i, 80) for i in range(4)]
+    rows = [(1, texts[0], "en"), (1, texts[1], "de"), (2, texts[1], "en"), (2, texts[2], "en"), (2, texts[2], "en"), (None, texts[3], "en"), (None, texts[3], "de"), (3, None, "x"), (3, "x", None)]
+    kept = sorted(((r.doc_id, r.text) for r in simhash.representatives(make(spark, rows)).collect()), key=str)
+    assert kept == sorted([(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (3, None), (3, "x")], key=str)
+
+
+def test_simhash_families_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = [prose(50 + i, 140).split() for i in range(6)]
+    texts = [" ".join(w if rng.random() > p else w + "x" for w in own) for own in base for p in (0, 0, 0.004, 0.01, 0.02, 0.04)]
+    rows = make(spark, [(i, t, "en") for i, t in enumerate(texts)] + [(98, None, "en"), (99, "", "en")])
+    hashes = [simhash.shingle_hashes(t.encode(), 5) for t in [*texts, "", ""]]
+    fps = [[simhash.majority(simhash.rehashed(h, n)) % (1 << 64) for n in range(3)] for h in hashes]
+    least = list(range(len(fps)))
+    for _ in least:
+        for i, j in itertools.combinations(range(len(fps)), 2):
+            if any((a ^ b).bit_count() <= 4 for a, b in zip(fps[i], fps[j])):
+                least[i] = least[j] = min(least[i], least[j])
+    ids = [*range(len(texts)), 98, 99]
+    want = sorted(ids[i] for i in set(least))
+    assert sorted(r.doc_id for r in simhash.representatives(rows, width=5, families=3).collect()) == want
+    one = sorted(r.doc_id for r in simhash.representatives(rows, width=5).collect())
+    assert set(want) <= set(one)
+
+
+@pytest.mark.parametrize("hot", [3, 40, 10**6])
+def test_links_of_crowded_keys_equal_brute_force(spark, hot):
+    rng = np.random.default_rng(8)
+    flips = lambda low, n: sum(1 << int(b) for b in rng.choice(np.arange(low, 64), n, replace=False))
+    near = {flips(32, int(rng.integers(0, 3))) ^ flips(0, int(rng.integers(0, 3))) for _ in range(40)}
+    fps = sorted({f ^ c for f in near for c in (0, 0xFFFF000000000000, 0x00000000FFFFFFFF)})
+    df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    found = rows_of(simhash.links(df, hot=hot))
+    assert all((r["a"] ^ r["b"]) % (1 << 64) for r in found)
+    u, v = (np.array([r[x] for r in found], np.int64) for x in ("a", "b"))
+    nodes, roots = components.local_roots(u, v)
+    found, least = dict(zip(nodes.tolist(), roots.tolist())), slow_components(fps)
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    for (a, x), (b, y) in itertools.combinations(zip(signed, least), 2):
+        assert (x == y) == (found.get(a, a) == found.get(b, b))
+
+
 @pytest.mark.parametrize("block", [50_000, 4_000_000])
 def test_ball_links_equal_brute_force(monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK_VARIANTS", block)
@@ -100,41 +144,87 @@ def test_connected_components_of_chain_and_hub(spark):
 # --- 2 segmentations ---
 
 
-def all_paths(lattices, unit):
+def all_paths(lattices, units):
+    """Probability of each path through the units."""
+
     def go(node, logp, path):
         for e in range(lattices.first[node], lattices.first[node + 1]):
-            after = lattices.to[e]
-            yield from [(path + (e,), logp + lattices.logq[e])] if after < 0 else go(after, logp + lattices.logq[e], path + (e,))
+            after, q = int(lattices.to[e]), logp + float(lattices.logq[e])
+            yield from [((*path, e), q)] if after < 0 else go(after, q, (*path, e))
 
-    return dict(go(lattices.add(unit), 0.0, ()))
+    out = {(): 0.0}
+    for start in lattices.add(units).tolist():
+        out = {(*p, *q): x + y for p, x in out.items() for q, y in go(start, 0.0, ())}
+    return {k: math.exp(v) for k, v in out.items()}
 
 
-def test_gumbel_top_k_draws_without_replacement():
+@pytest.mark.parametrize("units", [["tion"], ["▁th", "\n", "▁an"]])
+def test_gumbel_top_k_draws_without_replacement(units):
     pieces = segmentation.Pieces()
     lattices = segmentation.Lattices(pieces)
-    (unit,) = pieces.units("tion")
-    p = {k: math.exp(v) for k, v in all_paths(lattices, unit).items()}
+    p = all_paths(lattices, units)
     assert abs(sum(p.values()) - 1) < 1e-9
-    n, first, pair = 3000, collections.Counter(), collections.Counter()
-    for seed in range(n):
-        found, bar = segmentation.perturbed_paths([lattices.add(unit)], lattices, 2, seed)
+    n, first, pair, inclusion = 20_000, collections.Counter(), collections.Counter(), collections.defaultdict(float)
+    starts, seeds = lattices.add(units * n), np.random.default_rng(1).integers(0, 1 << 63, n).astype(np.uint64)
+    paths, bars = segmentation.sample_paths(lattices, starts, np.arange(n + 1) * len(units), 2, seeds)
+    for found, bar in zip(paths, bars):
         assert len({tuple(e) for e, _, _ in found}) == 2 and found[0][2] >= found[1][2] >= bar
-        first[tuple(found[0][0])] += 1
-        pair.update(tuple(e) for e, _, _ in found)
+        assert all(abs(math.exp(logp) - p[tuple(e.tolist())]) < 1e-9 for e, logp, _ in found)
+        first[tuple(found[0][0].tolist())] += 1
+        for e, logp, _ in found:
+            pair[tuple(e.tolist())] += 1
+            inclusion[tuple(e.tolist())] += 1 / math.exp(segmentation._inclusion(logp, bar))
     for path, q in p.items():
         both = q + sum(p[o] * q / (1 - p[o]) for o in p if o != path)
         assert abs(first[path] / n - q) < 5 * math.sqrt(q / n) + 1e-3
         assert abs(pair[path] / n - both) < 5 * math.sqrt(both / n) + 1e-3
-    everything, bar = segmentation.perturbed_paths([lattices.add(unit)], lattices, 99, 1)
-    assert len(everything) == len(p) and bar == -math.inf
+        assert q < 0.02 or abs(inclusion[path] / n - 1) < 0.1  # weighting by inclusion is unbiased
+    everything, bar = segmentation.sample_paths(lattices, lattices.add(units), np.array([0, len(units)]), 999, seeds[:1])
+    assert len(everything[0]) == len(p) and bar[0] == -math.inf
+
+
+def test_samples_of_long_texts_have_the_right_probabilities():
+    """A sampled path's mean log probability is the lattice's; samples don't depend on what shares the batch."""
+    lattices = segmentation.Lattices(segmentation.Pieces())
+    units = lattices.pieces.units(prose(3, 4000))
+    expected = 0.0
+    for unit, n in collections.Counter(units).items():
+        p = all_paths(lattices, [unit])
+        expected += n * sum(q * math.log(q) for q in p.values())
+    starts = lattices.add(units)
+    seeds = np.arange(200, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    paths, _ = segmentation.sample_paths(lattices, np.tile(starts, 200), np.arange(201) * len(units), 1, seeds)
+    drawn = np.array([own[0][1] for own in paths])
+    assert abs(drawn.mean() - expected) < 5 * drawn.std() / math.sqrt(len(drawn))
+    alone, _ = segmentation.sample_paths(lattices, starts, np.array([0, len(units)]), 4, seeds[7:8])
+    shared, _ = segmentation.sample_paths(lattices, np.tile(starts, 3), np.arange(4) * len(units), 4, seeds[6:9])
+    assert [x[0].tolist() for x in alone[0]] == [x[0].tolist() for x in shared[1]]
+    # units of many lengths, one without spaces among them
+    long = "x" * 3000 + " " + "日本" * 500
+    (edges, logp), = segmentation.best_texts([long], segmentation.Lattices(lattices.pieces, with_best=True))
+    assert len(edges) and -1e5 < logp < 0
+
+
+def test_best_segmentation_is_the_most_probable(spark, docs):
+    lattices = segmentation.Lattices(segmentation.Pieces(), with_best=True)
+    for units in (["▁tion"], ["▁harbour"], ["▁é日x"], ["\n"]):
+        p = all_paths(lattices, units)
+        _, edges = lattices.walk(lattices.add(units), lambda at, node, step: lattices.best[node])
+        assert abs(p[tuple(edges.tolist())] - max(p.values())) < 1e-12
+    made = segmentation.decode(segmentation.encode(docs.select("doc_id", "text", "rank")))
+    assert made.columns == ["doc_id", "text", "rank", "ids", "log_prob", "decoded"]
+    for r in rows_of(made):
+        assert r["decoded"] == (r["text"] or "") and r["log_prob"] <= 0 and bool(r["ids"]) == bool(r["text"])
+    assert segmentation.encode(docs.limit(0)).count() == 0
 
 
 def test_segmentations_decode_and_are_seeded_by_key(spark, docs):
-    turns = docs.select("doc_id", "text", "rank").where("length(text) < 400 OR text IS NULL")
+    turns = docs.select("doc_id", "text", "rank")
     a = sorted(map(str, rows_of(segmentation.sample_segmentations(turns, ["doc_id"], k=3))))
     assert a == sorted(map(str, rows_of(segmentation.sample_segmentations(turns.repartition(3), ["doc_id"], k=3))))
     texts = {r.doc_id: r.text or "" for r in turns.collect() if r.doc_id}
     pieces = segmentation.Pieces()
+    assert segmentation.sample_segmentations(turns.limit(0), ["doc_id"]).count() == 0
     for r in rows_of(segmentation.sample_segmentations(turns.where("doc_id IS NOT NULL"), ["doc_id"], k=3)):
         assert r["decoded"] == texts[r["doc_id"]]
         if not texts[r["doc_id"]].startswith(" "):
@@ -173,6 +263,32 @@ def test_spotsigs_edited_text_and_likeness(docs, nothing):
     assert spotsigs.edited_fingerprints(docs).count() == docs.count()
 
 
+def slow_signatures(text):
+    """Signatures as words, from the rule in plain Python."""
+    words = ["".join(own) for is_word, own in itertools.groupby((text or "").lower(), str.isalnum) if is_word]
+    parts, part = [], []
+    for w in words:
+        if part and (w in spotsigs.ANCHORS or len(part) == spotsigs.RUN):
+            parts, part = [*parts, part], []
+        part = [*part, w]
+    found = {" ".join(p[: spotsigs.CHAIN + 1]) for p in [*parts, part] if len(p) > 1}
+    if not words:
+        return {text or ""}
+    return found | set(words) if len(words) <= spotsigs.SHORT else found or set(words)
+
+
+def test_spotsigs_fingerprints_equal_brute_force(spark, docs):
+    rows = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    wanted = {i: slow_signatures(t) for i, t in texts.items()}
+    hashed = spark.createDataFrame([(x,) for x in set().union(*wanted.values())], "x string").select("x", F.hash("x").alias("h"))
+    h = {r.x: r.h % (1 << 32) for r in hashed.collect()}
+    got = {r["doc_id"]: r for r in rows_of(spotsigs.edited_fingerprints(rows, buckets=3))}
+    for i, own in wanted.items():
+        assert {got[i]["fingerprint"][a : a + 8] for a in range(0, 8 * got[i]["n_signatures"], 8)} == {f"{h[x]:08x}" for x in own}
+        assert len(got[i]["fingerprint"]) == 8 * len({h[x] for x in own})
+
+
 def test_spotsigs_length_bound_prunes(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1]), ([1, 2], [2, 3]), (None, [1])], "a array<int>, b array<int>")
     got = [r[0] for r in df.select(spotsigs.pruned_jaccard(F.col("a"), F.col("b"), 0.5)).collect()]
@@ -217,9 +333,30 @@ def test_quality_votes_match_brute_force_and_separate(spark):
     terms = quality.Terms()
     for i, text, _ in rows:
         v = quality.unit(quality.weigh(terms.row(text)[None, :], model.idf) @ model.axes)[0]
-        near = sorted(zip((model.vectors @ v).tolist(), model.labels.tolist()), reverse=True)[: quality.NEIGHBOURS]
+        cosines = sorted((sum(float(a) * float(b) for a, b in zip(v, w)) for w in model.vectors), reverse=True)
+        # those as near as the last of the neighbours vote, give or take rounding
+        near = [(c, y) for c, y in zip((sum(float(a) * float(b) for a, b in zip(v, w)) for w in model.vectors), model.labels) if c >= cosines[quality.NEIGHBOURS - 1] - 1e-6]
         score = sum(max(s, 0) * y for s, y in near) / sum(max(s, 0) for s, _ in near)
-        assert abs(got[i]["score"] - score) < 0.05 and got[i]["predicted"] == int(i < 100)
+        assert abs(got[i]["score"] - score) < 1e-3 and got[i]["predicted"] == int(i < 100)
+
+
+def test_quality_terms_cover_whole_texts():
+    spam = [f"w{i}" for i in range(51)] + ["buy"] * 48
+    assert quality.distinct_share(np.arange(99)) == 1 and quality.distinct_share(np.array([hash(w) for w in spam])) < 0.6
+    assert quality.distinct_share(np.array([1, 1, 1, 1])) == 0.25
+    assert quality.shape("a" * 64 + "!1") == "a!0" and quality.shape("Word,,") == "Aa,"
+    short, long = quality.Terms().row("x " * 10 + "b" * 70), quality.Terms().row("x " * 10 + "b" * 70 + "!")
+    assert (short != long).any()
+
+
+def test_quality_ties_do_not_depend_on_order():
+    rng = np.random.default_rng(0)
+    counts = np.zeros((60, quality.TERMS), np.float32)
+    counts[:, :8] = np.repeat(rng.integers(1, 5, (2, 8)), 30, axis=0)
+    labels = rng.integers(0, 2, 60).astype(np.float64)
+    a, order = quality.fit(counts, labels), rng.permutation(60)
+    b = quality.Model(a.idf, a.axes, a.vectors[order], a.labels[order])
+    assert np.allclose(a.scores(counts, 5), b.scores(counts, 5), atol=1e-5)
 
 
 def test_quality_awkward_rows(spark, docs, nothing):
@@ -286,6 +423,19 @@ def test_license_notices_that_span_lines_or_hold_tags(spark):
     assert [got[str(i)] for i in range(len(pages))] == [name for name, _ in pages]
 
 
+def test_licenses_of_crowded_directories(spark):
+    """Files of large and small directories inherit alike; without a path nothing does."""
+    files = [("big/LICENSE", "Released under the MIT License.")] + [(f"big/f{i}", "x") for i in range(1500)] + [(f"big/d{i}/f", "y") for i in range(40)]
+    files += [(f"none/f{i}", "x") for i in range(1200)] + [(None, "x")] * 30
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "key int, path string, text string")
+    got = rows_of(licenses.license_scan(df))
+    assert len(got) == len(files)
+    for r in got:
+        path = files[r["key"]][0]
+        assert r["license"] == ("MIT" if (path or "").startswith("big/") else None)
+        assert r["distance"] == (None if r["license"] is None or path == "big/LICENSE" else int("/d" in path))
+
+
 # --- 6 packing ---
 
 
@@ -369,6 +519,22 @@ def test_topk_equals_brute_force(spark, monkeypatch, rows, kept):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_of_large_components(spark):
+    big = float(1 << 33)
+    vectors = [(0, [big, 1.0]), (1, [-big, 2.0]), (2, [1000.0, 3.0]), (3, [0.5, -0.25]), (4, [0.25, 1.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    got = rows_of(topk.top_k(df.where("vec_id <> 1"), F.col("vec_id") == 0))
+    own = [int(math.floor(1024 * x)) for x in vectors[0][1]]
+    want = sorted((-sum(int(math.floor(1024 * x)) * y for x, y in zip(v, own)), i) for i, v in vectors[2:])
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]
+    plain = spark.createDataFrame([(0, [2097152.0]), (1, [0.5]), (2, [-3.0]), (3, [2097152.0])], df.schema)
+    assert [r["score"] for r in rows_of(topk.top_k(plain, F.col("vec_id") == 0).orderBy("rank"))] == [1 << 62, 1 << 40, -3072 << 31]
+    with pytest.raises(Exception, match="too large|too big|Overflow"):
+        topk.top_k(df.union(spark.createDataFrame([(5, [big, 0.0])], df.schema)), F.col("vec_id") == 0).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [1.0])], df.schema), F.col("vec_id") == 0).collect()
+
+
 def test_signed_digits():
     for v in range(-2000, 2000, 7):
         digits = topk.signed_digits(v)
@@ -428,6 +594,26 @@ def test_scripts_narrow_candidates(docs):
     assert names[0] in ("de", "en") and scores[0] == 0 and names[1] == "und" and names[2] == "en" and 0.5 < scores[2] < 1
 
 
+def test_many_languages(spark):
+    """More languages than a signed byte counts."""
+    rng = np.random.default_rng(2)
+    words = ["".join(map(chr, rng.integers(97, 123, 9))) for _ in range(400)]
+    rows = [(i, " ".join([words[2 * i], words[2 * i + 1]] * 12), f"l{i:03d}") for i in range(200)]
+    model = langid.train(make(spark, rows))
+    assert len(model.languages) == 200
+    names, _, spans = langid.label_texts([t for _, t, _ in rows], langid.WordScores(model))
+    assert sum(a == b for a, (_, _, b) in zip(names, rows)) > 190 and all(s[0][1] == 0 and s[-1][2] == 24 for s in spans)
+
+
+def test_spans_of_the_table_equal_those_of_texts(docs):
+    model = langid.train(docs)
+    scorer = langid.WordScores(model)
+    for r in rows_of(langid.identify(docs, model)):
+        (name,), (score,), (spans,) = langid.label_texts([r["text"] or ""], scorer)
+        assert r["lang_pred"] == name and abs(r["score"] - score) < 1e-9
+        assert [(s["lang"], s["first"], s["stop"]) for s in r["spans"]] == spans
+
+
 # --- 9 token counts ---
 
 
@@ -440,8 +626,16 @@ def test_context_limits_equal_brute_force(docs, nothing):
         within = [n for n in lengths if n <= limit]
         assert (r["docs_within"], r["tokens_within"], r["docs_beyond"]) == (len(within), sum(within), len(lengths) - len(within))
         assert r["truncated_tokens"] == sum(min(n, limit) for n in lengths) and abs(r["quantile"] - len(within) / len(lengths)) < 1e-12
-    row = rows_of(tokencounts.at_limit(limits, 1000))[0]
-    assert row["truncated_tokens"] == sum(min(n, 1000) for n in lengths)
+    for limit in (0, 1, 7, 1000, 10**6, *lengths):
+        (row,) = rows_of(tokencounts.at_limit(limits, limit))
+        within = [n for n in lengths if n <= limit]
+        assert row == {
+            "context_limit": limit, "n_docs": lengths.count(limit), "docs_within": len(within), "tokens_within": sum(within), "docs_beyond": len(lengths) - len(within),
+            "truncated_tokens": sum(min(n, limit) for n in lengths), "quantile": len(within) / len(lengths),
+        }
+    shifted = tokencounts.context_limits(tokencounts.length_histogram(docs, added=5))
+    assert rows_of(tokencounts.at_limit(shifted, 3))[0]["truncated_tokens"] == 3 * len(lengths)
+    assert tokencounts.at_limit(limits.limit(0), 5).count() == 0
     assert tokencounts.context_limits(tokencounts.length_histogram(nothing)).count() == 0
 
 
@@ -466,6 +660,42 @@ def test_interpolated_counts_and_base_score(docs, nothing):
     assert interpolated.score(nothing, rest != 0, rest == 1).count() == 0
 
 
+def test_counts_beyond_32_bits():
+    for numbers in ([0, 1, 255], [70_000], [1 << 33, 5], []):
+        assert interpolated._expand(interpolated._squeeze(np.array(numbers, np.int64))).tolist() == numbers
+
+
+def test_interpolated_scores_equal_brute_force(spark, docs):
+    """The model's probability of each text, from plain dictionaries and the same weights."""
+    rest = common.id_bucket(F.col("doc_id"), 10)
+    got = {r["doc_id"]: r["score"] for r in rows_of(interpolated.score(docs, rest != 0, rest == 1, batch_tokens=300, range_tokens=500)) if r["doc_id"] is not None}
+    split = lambda t: [*bytes((t or "").encode()).translate(simhash._LOWER).split(), b"\n"]
+    bucket = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 10
+    texts = [(r.doc_id, split(r.text)) for r in docs.collect()]
+    pairs = lambda own: list(zip([own[-1], *own[:-1]], own))
+
+    def counts(kept):
+        one = collections.Counter(w for i, own in texts if kept(i) for w in own)
+        return one, collections.Counter(p for i, own in texts if kept(i) for p in pairs(own)), sum(one.values())
+
+    floor = lambda p: min(int(math.floor(-math.log10(p) * interpolated.BINS_PER_DECADE)), interpolated.BINS - 1) if p > 0 else interpolated.BINS
+    log2 = lambda c: min(int(math.floor(math.log2(max(c, 0.5)))) + 1, interpolated.CONTEXT_BUCKETS - 1)
+    one, two, n = counts(lambda i: bucket(i) > 1)
+    bins = collections.Counter(
+        (log2(one[h]), floor(two[h, w] / one[h] if one[h] else 0), floor(one[w] / n)) for i, own in texts if bucket(i) == 1 for h, w in pairs(own)
+    )
+    one, two, n = counts(lambda i: bucket(i) > 0)
+    frame = interpolated.pd.DataFrame([(*k, x) for k, x in bins.items()], columns=["bucket", "i2", "i1", "n"])
+    weights = interpolated.learn_weights(frame, len(one))
+    for i, own in texts:
+        if i is not None:
+            score = 0.0
+            for h, w in pairs(own):
+                a = weights[log2(one[h])]
+                score += math.log10(a[0] * (two[h, w] / one[h] if one[h] else 0) + a[1] * one[w] / n + a[2] / (len(one) + 1))
+            assert abs(got[i] - score) < 1e-6 * max(1, abs(score))
+
+
 def test_model_is_a_distribution():
     """Probabilities of all words after a context, and of an unseen one, add up to one."""
     text = "a b a c a b b c a".split()
