@@ -10,6 +10,8 @@ from barloom.llm.common import materialize, read_table
 
 #: Texts whose best language has a smaller share of their letters are rejected.
 MIN_LANGUAGE_SHARE = 0.3
+#: Words of a shingle, and independent families of hashes, of the near-duplicate stage.
+SHINGLE_WORDS, FAMILIES = 5, 3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest id."""
-    return simhash.representatives(docs)
+    return simhash.representatives(docs, width=SHINGLE_WORDS, families=FAMILIES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
