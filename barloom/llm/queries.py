@@ -15,18 +15,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four sampled segmentations of every text of ``documents`` and every turn of ``conversations``; the digest tells whether each decodes to its text.
+    """Four sampled segmentations of every text of ``documents`` and every turn of ``conversations``.
 
-    Rows of documents have a ``doc_id``, those of conversations ``conv_id`` and ``turn``.
+    The digest tells whether each decodes to its text.  Rows of documents have a
+    ``doc_id``, those of conversations ``conv_id`` and ``turn``.
     """
 
     def sampled(name: str, keys: list[str]) -> DataFrame:
         rows = read_table(spark, sf_dir, name).withColumn("text", F.coalesce("text", F.lit("")))
         found = segmentation.sample_segmentations(rows, [*keys, "text"])
         return found.select(
-            F.lit(name).alias("table"), *keys, "rank", F.size("ids").cast("long").alias("n_ids"),
-            F.md5(F.concat_ws(",", F.transform("ids", lambda x: x.cast("string")))).alias("ids_md5"),
-            "log_prob", "perturbed", "log_inclusion", (F.col("decoded") == F.col("text")).alias("decodes"),
+            F.lit(name).alias("table"), *keys, "rank", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion", (F.col("decoded") == F.col("text")).alias("decodes"),
         )
 
     return sampled("documents", ["doc_id"]).unionByName(sampled("conversations", ["conv_id", "turn"]), allowMissingColumns=True)
@@ -54,14 +53,16 @@ def op8_language_model(documents: DataFrame) -> langid.Model:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, and its labelled spans (language, first word, word after the last)."""
     docs = read_table(spark, sf_dir, "documents")
-    found = langid.identify(docs.select("doc_id", "text"), op8_language_model(docs), keep=["doc_id"], with_spans=False)
+    found = langid.identify(docs.select("doc_id", "text"), op8_language_model(docs), keep=["doc_id"])
     return found.withColumn("held_out", id_bucket(F.col("doc_id"), 3) == 1)
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages by host and path; a page titled by a notice governs its directory."""
-    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), licenses.url_path(F.col("url")).alias("path"), F.col("html").alias("text"))
+    path = licenses.url_path(F.col("url")).alias("path")
+    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("key"), path, F.col("html").alias("text"))
     return licenses.license_scan(pages, markup=True, headed_governs=True).withColumnRenamed("key", "page_id")
 
 
@@ -85,7 +86,10 @@ def op10_interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_segmentation, op3_spotsigs, op4_quality, op5_licenses, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated)}
+    own = (
+        op1_simhash, op2_segmentation, op3_spotsigs, op4_quality, op5_licenses, op6_packing, op7_topk, op8_language, op9_token_counts, op10_interpolated,
+    )
+    return {f.__name__: f for f in own}
 
 
 TOPK_SQL = """
@@ -95,7 +99,8 @@ WITH x AS (
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), p AS (
-    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    SELECT a.vec_id AS query_id, b.vec_id,
+           CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
     FROM x a JOIN x b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
 ), r AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
