@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import map_batches, materialize
 
 #: Licence names and the wording of their notices.
 TEMPLATES = {
@@ -91,6 +91,7 @@ class Matcher:
             for i, w in own:
                 self.weights[i][t] = w
         self.words = [sum(n for t, n in c.items() if " " not in t) for c in counted]
+        self.vocabulary = {t for t in self.postings if " " not in t}
 
     def best(self, line: str) -> tuple[str | None, float]:
         return self.best_of(terms(line))
@@ -106,13 +107,24 @@ class Matcher:
         at = int(scores.argmax())
         return self.names[at], min(1.0, float(scores[at] / norm))
 
-    def possible(self, present: set[str], threshold: float) -> list[int]:
-        """Templates that some part of a text with these terms could reach: a cosine is at most the length of the template's part on the shared terms."""
+    def shared(self, words: list[str]) -> set[str]:
+        """Terms of the templates among these words and their neighbours."""
+        single = self.vocabulary.intersection(words)
+        if len(single) < 2:
+            return single
+        return single | {pair for a, b in zip(words, words[1:]) if a in single and b in single and (pair := f"{a} {b}") in self.postings}
+
+    def bounds(self, present: set[str]) -> list[float]:
+        """Squares that the cosine of a text with these terms to each template can't exceed: a cosine is at most the length of the template's part on the shared terms."""
         mass = [0.0] * len(self.names)
         for t in present:
-            for i, w in self.postings.get(t, ()):
+            for i, w in self.postings[t]:
                 mass[i] += w * w
-        return [i for i, m in enumerate(mass) if m >= threshold * threshold - 1e-9]
+        return mass
+
+    def possible(self, present: set[str], threshold: float) -> list[int]:
+        """Templates that some part of a text with these terms could reach."""
+        return [i for i, m in enumerate(self.bounds(present)) if m >= threshold * threshold - 1e-9]
 
     def windows(self, units: list[list[str]], i: int) -> tuple[float, float]:
         """Best cosines to template ``i`` of windows of consecutive units: of all, and of those from the first unit.
@@ -145,16 +157,21 @@ class Matcher:
         return best, first
 
     def best_in(self, lines: list[str], threshold: float, header: list[str] | None = None) -> tuple[tuple[str | None, float], bool]:
-        """The best line, or window of sentences, header or whole text if that reaches ``threshold``; whether the text starts with such a one."""
+        """The best line, or window of sentences, header or whole text if that reaches ``threshold``; whether the text starts with such a one.
+
+        Of equal scores the first line's counts, and of templates the first by name.
+        """
         best, headed, present, last = (None, 0.0), False, set(), None
         for at, line in enumerate(lines):
             words = _TERM.findall(line.lower())
-            found = Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:]))
-            got = self.best_of(found)
-            headed |= not at and got[1] >= threshold
-            if got[1] > best[1]:
-                best = got
-            present |= found.keys() & self.postings.keys()
+            own = self.shared(words)
+            # a line that can't be better needs no cosine
+            if own and max(self.bounds(own)) >= best[1] * best[1] - 1e-9:
+                got = self.best_of(Counter(words) + Counter(f"{a} {b}" for a, b in zip(words, words[1:])))
+                headed |= not at and got[1] >= threshold
+                if got[1] > best[1]:
+                    best = got
+            present |= own
             if words:
                 if last is not None and (pair := f"{last} {words[0]}") in self.postings:
                     present.add(pair)
@@ -177,18 +194,17 @@ class Matcher:
 
 def term_frequencies(files: DataFrame, templates: dict[str, list[str]], markup: bool) -> tuple[dict[str, int], int]:
     """Lines that hold each term of the templates, and all lines, over every file (as many rows as templates have terms)."""
-    wanted = {t for own in templates.values() for x in own for t in terms(x)}
 
     def run(batches):
-        count, lines = Counter(), 0
+        count, lines, matcher = Counter(), 0, Matcher(templates, {}, 0)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for line in text_lines(text or "", markup):
                     lines += 1
-                    count.update(terms(line).keys() & wanted)
+                    count.update(matcher.shared(_TERM.findall(line.lower())))
         yield pa.RecordBatch.from_arrays([pa.array([*count, None], pa.string()), pa.array([*count.values(), lines], pa.int64())], ["term", "n"])
 
-    rows = files.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(files.select("text"), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     return {r["term"]: r["n"] for r in rows if r["term"] is not None}, next((r["n"] for r in rows if r["term"] is None), 0)
 
 
@@ -198,7 +214,9 @@ def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, markup
     ``own_license`` is the licence of the best line, window of sentences, header
     or whole text from ``threshold`` on (else null, and ``own_score`` is the best
     line's); ``headed`` says that the text starts with such a one.  A null or
-    empty text has none and score 0.
+    empty text has none and score 0.  Of templates that score alike the first by
+    name counts, of lines the first.  Whole texts are read, one at a time,
+    however long.  Rows that repeat a key or a path are files of their own.
     """
     templates = templates or TEMPLATES
     frequency, lines = term_frequencies(files, templates, markup)
@@ -213,9 +231,10 @@ def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, markup
                 names.append(best[0] if best[1] >= threshold else None)
                 scores.append(best[1])
                 headed.append(first)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores), pa.array(headed)], ["key", "path", "own_license", "own_score", "headed"])
+            made = [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(headed, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(made, ["key", "path", "own_license", "own_score", "headed"])
 
-    return files.select("key", "path", "text").mapInArrow(run, f"key {kind}, path string, own_license string, own_score double, headed boolean")
+    return map_batches(files.select("key", "path", "text"), run, f"key {kind}, path string, own_license string, own_score double, headed boolean")
 
 
 def directory(path: Column) -> Column:
@@ -230,15 +249,24 @@ def inherit(scanned: DataFrame, governs: Column) -> DataFrame:
     directory (if several do: the highest score, then the first name).  Without
     a licence of its own a row takes that of the nearest directory from its own
     upward; ``distance`` counts the steps.  Rows without a path inherit nothing.
-    Distinct directories look up their ancestors once, however many files they hold.
+    Distinct directories look up their ancestors once, however many files they
+    hold; files of directories with more than a thousandth of all files are
+    joined by broadcast of those directories, which are fewer than a thousand.
     """
     own = materialize(scanned.withColumn("dir", directory(F.col("path"))), "licenses")
-    given = own.where(governs & F.col("own_license").isNotNull() & F.col("path").isNotNull()).groupBy("dir").agg(F.min(F.struct((-F.col("own_score")).alias("s"), "own_license")).alias("best")).select(F.col("dir").alias("above"), F.col("best.own_license").alias("given"))
-    dirs = own.where("dir IS NOT NULL").select("dir").distinct()
+    governing = own.where(governs & F.col("own_license").isNotNull() & F.col("path").isNotNull())
+    best = governing.groupBy("dir").agg(F.min(F.struct((-F.col("own_score")).alias("s"), "own_license")).alias("best"))
+    given = best.select(F.col("dir").alias("above"), F.col("best.own_license").alias("given"))
+    sizes = own.where("dir IS NOT NULL").groupBy("dir").agg(F.count("*").alias("files"))
     parts = F.split("dir", "/")
-    climbing = dirs.select("dir", F.explode(F.sequence(F.lit(0), F.size(parts))).alias("distance")).withColumn("above", F.array_join(F.slice(parts, 1, F.size(parts) - F.col("distance")), "/"))
+    climbing = sizes.select("dir", F.explode(F.sequence(F.lit(0), F.size(parts))).alias("distance"))
+    climbing = climbing.withColumn("above", F.array_join(F.slice(parts, 1, F.size(parts) - F.col("distance")), "/"))
     near = climbing.join(given, "above").groupBy("dir").agg(F.min(F.struct("distance", "above", "given")).alias("near"))
-    joined = own.join(near, "dir", "left")
+    near = materialize(near, "governed")  # a row for each directory that inherits
+    crowded = sizes.where(F.col("files") * 1000 > own.count()).join(near, "dir", "left").select("dir", "near")
+    beside = own.where("dir IS NOT NULL").join(F.broadcast(crowded.select("dir")), "dir", "left_anti")
+    joined = own.join(F.broadcast(crowded), "dir").unionByName(beside.join(near, "dir", "left"))
+    joined = joined.unionByName(own.where("dir IS NULL"), allowMissingColumns=True)
     taken = F.col("own_license").isNull() & F.col("near").isNotNull()
     return joined.select(
         "key", "path", "own_license", "own_score", F.coalesce("own_license", "near.given").alias("license"),
@@ -255,7 +283,10 @@ def license_scan(files: DataFrame, markup: bool = False, threshold: float = THRE
     """Licences of files (key, path, text): own, or of the nearest ancestor directory.
 
     Licence files are those named like one; ``headed_governs`` also counts files
-    whose first line is a notice (a page titled by it).  Other columns are ignored.
+    whose first line is a notice (a page titled by it).  Other columns are
+    ignored.  A null text is empty, without a licence of its own; a null path
+    gives and inherits nothing; both and rows that repeat a key keep their rows.
+    No rows give no rows.  Ties: see ``scan`` and ``inherit``.
     """
     name = F.regexp_extract(F.col("path"), r"([^/]*)$", 1)
     governs = name.rlike("^" + LICENSE_FILES.pattern + "$")
