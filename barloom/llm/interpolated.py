@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bound_batches, map_batches, materialize, release
 from .simhash import _LOWER
 
 BATCH_TOKENS = 700_000
 #: Tokens of the input for each range of key hashes.
 RANGE_TOKENS = 1_500_000
+#: Tasks of a shuffle by range or batch: one for each, up to this many; beyond it tasks take several, one after another.
+MOST_TASKS = 50_000
 CONTEXT_BUCKETS = 32
 #: Held-out likelihoods are kept in bins of so many to a factor of ten.
 BINS_PER_DECADE = 10
@@ -41,15 +43,17 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _squeeze(array: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold the largest, compressed behind that number of bytes."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+    kind = np.min_scalar_type(int(array.max(initial=0)))
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(array.astype(kind).tobytes())
 
 
-def _expand(data: bytes, kind) -> np.ndarray:
+def _expand(data: bytes) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), f"<u{data[0]}")
 
 
 BATCH_FIELDS = "batch long, held boolean, n_tokens long, train_tokens long, train binary, lengths binary, hashes binary, ids binary"
@@ -77,10 +81,14 @@ def batches_of(docs: DataFrame, train: Column, held: Column, batch_tokens: int =
             # equal hashes are one word
             distinct, place = np.unique(hashes, return_inverse=True)
             ids, lengths, flags = place.astype(np.uint32)[np.concatenate(s["ids"])], np.array(s["lengths"], np.int32), np.array(s["train"], np.uint8)
-            row = [[s["docs"]], [task + made], [is_held], [len(ids)], [int(lengths[flags > 0].sum())], [flags.tobytes()], [lengths.tobytes()], [distinct.tobytes()], [_squeeze(ids)]]
+            row = [
+                [s["docs"]], [task + made], [is_held], [len(ids)], [int(lengths[flags > 0].sum(dtype=np.int64))],
+                [flags.tobytes()], [lengths.tobytes()], [distinct.tobytes()], [_squeeze(ids)],
+            ]
             made += 1
-            types = [pa.list_(to_arrow_type(kind)), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], ["docs", "batch", "held", "n_tokens", "train_tokens", "train", "lengths", "hashes", "ids"])
+            types = [pa.list_(to_arrow_type(kind)), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+            names = ["docs", "batch", "held", "n_tokens", "train_tokens", "train", "lengths", "hashes", "ids"]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types)], names)
 
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
@@ -103,7 +111,8 @@ def batches_of(docs: DataFrame, train: Column, held: Column, batch_tokens: int =
             if s and s["docs"]:
                 yield emit(is_held, s)
 
-    return docs.select("doc_id", "text", train.alias("t"), (train & held).alias("h")).mapInArrow(run, f"docs array<{kind.simpleString()}>, {BATCH_FIELDS}")
+    rows = docs.select("doc_id", "text", train.alias("t"), (train & held).alias("h"))
+    return map_batches(rows, run, f"docs array<{kind.simpleString()}>, {BATCH_FIELDS}")
 
 
 class Batch:
@@ -111,7 +120,7 @@ class Batch:
 
     def __init__(self, row):
         self.hashes = np.frombuffer(row["hashes"], np.uint64)
-        self.ids = _expand(row["ids"], np.uint32).astype(np.int64)
+        self.ids = _expand(row["ids"]).astype(np.int64)
         self.lengths = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
         self.train = np.frombuffer(row["train"], np.uint8) > 0
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -155,19 +164,26 @@ def key_counts(packed: DataFrame, ranges: int) -> DataFrame:
                 seen = np.repeat(b.train, b.lengths)
                 counts = np.bincount(token[seen], minlength=len(keys)) + np.bincount(pair[seen], minlength=len(keys))
                 at = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1))
-                cut = [(r, at[r], at[r + 1]) for r in range(ranges) if at[r] < at[r + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r for r, _, _ in cut], pa.int32()), pa.array([row["batch"]] * len(cut), pa.int64()), pa.array([row["held"]] * len(cut)), pa.array([keys[i:j].tobytes() for _, i, j in cut], pa.binary()), pa.array([_squeeze(counts[i:j].astype(np.uint32)) for _, i, j in cut], pa.binary())],
-                    ["range", "batch", "held", "keys", "counts"],
-                )
+                cut = [(int(r), at[r], at[r + 1]) for r in np.flatnonzero(at[:-1] < at[1:])]
+                made = [
+                    pa.array([r for r, _, _ in cut], pa.int32()),
+                    pa.array([row["batch"]] * len(cut), pa.int64()),
+                    pa.array([row["held"]] * len(cut)),
+                    pa.array([keys[i:j].tobytes() for _, i, j in cut], pa.binary()),
+                    pa.array([_squeeze(counts[i:j]) for _, i, j in cut], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(made, ["range", "batch", "held", "keys", "counts"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, np.uint64) for x in rows["keys"]]
-        counts = np.concatenate([_expand(x, np.uint32) for x in rows["counts"]]).astype(np.float64)
         distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(of, counts, len(distinct)).astype(np.uint32)
-        own = np.repeat(rows["held"].to_numpy(bool), [len(k) for k in keys])
-        held = np.bincount(of[own], counts[own], len(distinct)).astype(np.uint32)
+        total, held, at = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64), 0
+        for k, counts, is_held in zip(keys, rows["counts"], rows["held"]):
+            mine, counts = of[at : at + len(k)], _expand(counts).astype(np.int64)  # a batch has a key once
+            at += len(k)
+            total[mine] += counts
+            if is_held:
+                held[mine] += counts
         out, at = [], 0
         for k, is_held in zip(keys, rows["held"]):
             mine = of[at : at + len(k)]
@@ -175,15 +191,27 @@ def key_counts(packed: DataFrame, ranges: int) -> DataFrame:
             out.append((_squeeze(total[mine]), _squeeze(held[mine]) if is_held else b""))
         words = np.zeros(len(rows), np.int64)
         words[0] = int(((distinct & np.uint64(1)) == 0)[total > 0].sum())
-        return pd.DataFrame({"batch": rows["batch"], "range": rows["range"], "counts": [x for x, _ in out], "held_counts": [x for _, x in out], "words": words})
+        made = {"batch": rows["batch"], "range": rows["range"], "counts": [x for x, _ in out], "held_counts": [x for _, x in out], "words": words}
+        del keys, distinct, of, total, held
+        release()
+        return pd.DataFrame(made)
 
-    asked = packed.select("batch", "held", "train", "lengths", "hashes", "ids").mapInArrow(ask, "range int, batch long, held boolean, keys binary, counts binary")
-    return asked.groupBy("range").applyInPandas(answer, "batch long, range int, counts binary, held_counts binary, words long")
+    columns = packed.select("batch", "held", "train", "lengths", "hashes", "ids")
+    asked = map_batches(columns, ask, "range int, batch long, held boolean, keys binary, counts binary")
+    # as many tasks as ranges, so that a task's input doesn't grow with the corpus
+    dealt = asked.repartition(min(ranges, MOST_TASKS), "range").groupBy("range")
+    return dealt.applyInPandas(answer, "batch long, range int, counts binary, held_counts binary, words long")
 
 
 def _gather(rows: pd.DataFrame, column: str) -> np.ndarray:
-    parts = [_expand(x, np.uint32) for x in rows.sort_values("range")[column]]
-    return np.concatenate(parts).astype(np.float64) if parts else np.empty(0)
+    parts = [_expand(x).astype(np.float64) for x in rows.sort_values("range")[column]]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
+def _by_batch(packed: DataFrame, counts: DataFrame, batches: int):
+    """Batches with their answers, as many tasks as batches."""
+    tasks = min(batches, MOST_TASKS)
+    return packed.repartition(tasks, "batch").groupBy("batch").cogroup(counts.repartition(tasks, "batch").groupBy("batch"))
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -195,8 +223,12 @@ def _estimates(token, context, pair, n_tokens) -> tuple[np.ndarray, np.ndarray]:
     return p2, token / max(n_tokens, 1)
 
 
-def held_out_bins(packed: DataFrame, counts: DataFrame, tokens: int) -> DataFrame:
-    """(bucket, i2, i1, n): held-out tokens by binned estimates, from counts without the held-out documents."""
+def held_out_bins(packed: DataFrame, counts: DataFrame, tokens: int, batches: int) -> DataFrame:
+    """(bucket, i2, i1, n): held-out tokens by binned estimates, from counts without the held-out documents.
+
+    A bin is a tenth of a power of ten, so the weights are learned from
+    likelihoods that are exact to 13 %, whatever the size of the corpus.
+    """
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [np.zeros((0, 4), np.int64)]
@@ -207,11 +239,13 @@ def held_out_bins(packed: DataFrame, counts: DataFrame, tokens: int) -> DataFram
             i2, i1 = (np.where(p > 0, np.minimum(np.floor(-np.log10(np.maximum(p, 1e-300)) * BINS_PER_DECADE), BINS - 1), BINS).astype(np.int64) for p in (p2, p1))
             code, n = np.unique((_bucket(rest[context]) * (BINS + 1) + i2) * (BINS + 1) + i1, return_counts=True)
             out.append(np.stack([code // (BINS + 1) ** 2, code // (BINS + 1) % (BINS + 1), code % (BINS + 1), n], axis=1))
+            del token, context, pair, rest, p2, p1, i2, i1
+            release()
         return pd.DataFrame(np.concatenate(out), columns=["bucket", "i2", "i1", "n"])
 
     own = packed.where("held")
     answers = counts.join(own.select("batch"), "batch", "left_semi")
-    found = own.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(run, "bucket long, i2 long, i1 long, n long")
+    found = _by_batch(own, answers, batches).applyInPandas(run, "bucket long, i2 long, i1 long, n long")
     return found.groupBy("bucket", "i2", "i1").agg(F.sum("n").alias("n"))
 
 
@@ -248,16 +282,22 @@ def score(docs: DataFrame, train: Column, held: Column, batch_tokens: int = BATC
     end; ``base_score`` is the add-0.1 unigram log10 probability and ``score``
     the model's.  Rows that repeat an id count as documents of their own.
     Without a training document every token has the uniform probability 1.  No
-    rows give no rows; other columns are ignored.
+    rows give no rows; other columns are ignored.  A text is scored in one
+    piece: a task needs about 100 bytes for each token of the longest.
     """
+    bound_batches(docs.sparkSession)
     packed = materialize(batches_of(docs, train, held, batch_tokens), "lm-batches")
-    sizes = packed.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("train_tokens"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("held"), F.col("train_tokens"))), F.lit(0))).first()
-    all_tokens, train_tokens, held_tokens = map(int, sizes)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    own = F.when(F.col("held"), F.col("train_tokens"))
+    sizes = packed.agg(total("n_tokens"), total("train_tokens"), total(own), F.count("*"), F.count(own)).first()
+    all_tokens, train_tokens, held_tokens, batches, held_batches = map(int, sizes)
     counts = materialize(key_counts(packed, max(4, -(-all_tokens // range_tokens))), "lm-counts")
     words = int(counts.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0])
-    weights = learn_weights(held_out_bins(packed, counts, train_tokens - held_tokens).toPandas(), words)
+    weights = learn_weights(held_out_bins(packed, counts, train_tokens - held_tokens, max(1, held_batches)).toPandas(), words)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, row in left.iterrows():
@@ -275,8 +315,11 @@ def score(docs: DataFrame, train: Column, held: Column, batch_tokens: int = BATC
             if not train_tokens:
                 model = np.zeros_like(base)
             add = lambda x: np.add.reduceat(x, b.starts)  # noqa: E731  every document has a token
-            out.append(pd.DataFrame({"doc_id": list(row["docs"]), "n_tokens": b.lengths, "n_known": add((own > 0).astype(np.int64)), "train_tokens": train_tokens, "base_score": add(base), "score": add(model)}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            made = (list(row["docs"]), b.lengths, add((own > 0).astype(np.int64)), train_tokens, add(base), add(model))
+            out.append(pd.DataFrame(dict(zip(names, made))))
+            del b, token, context, pair, c, own, base, model
+            release()
+        return pd.concat(out) if out else pd.DataFrame(columns=names)
 
     fields = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return packed.groupBy("batch").cogroup(counts.groupBy("batch")).applyInPandas(run, fields)
+    return _by_batch(packed, counts, max(1, batches)).applyInPandas(run, fields)
