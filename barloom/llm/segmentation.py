@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -131,7 +132,15 @@ class Pieces:
         return at
 
     def units(self, text: str) -> list[str]:
-        return _UNITS.findall(self.model.normalize(text)) if text else []
+        """Runs of spaces with the word after them, words behind line ends, and line ends."""
+        if not text:
+            return []
+        text = self.model.normalize(text)
+        if "▁▁" in text or "\n" in text:
+            return _UNITS.findall(text)
+        first, *words = text.split("▁")
+        units = ["▁" + w for w in words]
+        return [first, *units] if first else units
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces are joined as UTF-8, spaces restored, the added first space dropped."""
@@ -207,10 +216,13 @@ class Lattices:
 
     def add(self, units: list[str]) -> np.ndarray:
         """First nodes of the units; new ones are built together."""
-        missing = [u for u in dict.fromkeys(units) if u not in self.start]
-        if missing:
-            self._build(missing)
-        return np.fromiter(map(self.start.__getitem__, units), np.int64, len(units))
+        found = np.fromiter(map(self.start.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            missing = [units[i] for i in new.tolist()]
+            self._build(list(dict.fromkeys(missing)))
+            found[new] = np.fromiter(map(self.start.__getitem__, missing), np.int64, len(missing))
+        return found
 
     def _matches(self, codes: np.ndarray, end: np.ndarray):
         """Edges (from, length, id, weight) of all pieces in the text, by start and from the longest down."""
@@ -281,17 +293,18 @@ class Lattices:
 
         ``choose(index, node, step)`` gives the next edges.
         """
-        at, who, steps, step = np.arange(len(nodes)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        at, steps, lengths = np.arange(len(nodes)), [], np.zeros(len(nodes), np.int64)
         while len(nodes):
-            edge = choose(at, nodes, step)
-            who.append(at)
-            steps.append(edge)
-            nodes, step = self.to[edge], step + 1
+            edge = choose(at, nodes, len(steps))
+            steps.append((at, edge))
+            lengths[at] += 1
+            nodes = self.to[edge]
             more = nodes >= 0
             at, nodes = at[more], nodes[more].astype(np.int64)
-        who = np.concatenate(who)
-        order = np.argsort(who, kind="stable")
-        return who[order], np.concatenate(steps)[order]
+        begin, path = np.cumsum(lengths) - lengths, np.empty(int(lengths.sum()), np.int64)
+        for step, (at, edge) in enumerate(steps):
+            path[begin[at] + step] = edge
+        return np.repeat(np.arange(len(lengths)), lengths), path
 
     def drawn(self, nodes: np.ndarray, chance: np.ndarray) -> np.ndarray:
         """The edge of each node at which the sum of probabilities passes ``chance``."""
@@ -427,8 +440,9 @@ def sample_paths(lattices: Lattices, starts: np.ndarray, offsets: np.ndarray, k:
             rank = np.arange(len(order)) - np.searchsorted(texted[order], texted[order])
             last = np.full(len(live), -np.inf)
             last[texted[order[rank == need - 1]]] = high[order[rank == need - 1]]
-            short = np.zeros(len(live), bool)
-            short[text[before <= low[text]]] = True
+            some = ends[1:] > ends[:-1]
+            short = some.copy()
+            short[some] = before[ends[1:][some] - 1] <= low[some]  # prefixes get ever less probable
             again = short & (np.maximum(last, bar) - RESOLUTION < low)
             if not again.any():
                 break
