@@ -50,6 +50,8 @@ RESOLUTION = 40.0
 FIRST_DEPTH = 50.0
 
 _UNITS = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
+#: Stands, where a text doesn't have it, before units that no space begins.
+_BARE = "\x01"
 _GOLDEN, _MIX, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -72,7 +74,7 @@ def _codes(text: str) -> np.ndarray:
 def _ranges(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of the range, number) of all numbers of the ranges from ``first`` on."""
     of = np.repeat(np.arange(len(counts)), counts)
-    return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + first[of]
+    return of, np.arange(len(of)) + np.repeat(first - np.cumsum(counts) + counts, counts)
 
 
 class Pieces:
@@ -92,9 +94,7 @@ class Pieces:
                 self.spelled[i] = bytes([int(piece[3:5], 16)])
             elif not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)):
                 kept.append(i)
-        self.blob = np.frombuffer(b"".join(self.spelled), np.uint8)
-        self.size_of = np.array([len(x) for x in self.spelled])
-        self.place_of = np.cumsum(self.size_of) - self.size_of
+        self.bytes_of = pa.array(self.spelled, pa.binary())
         ids = np.array(kept, np.int64)
         rank = np.array([min(-self.model.get_score(i), float(n)) for i in kept])
         lengths = np.array([len(text[i]) for i in kept])
@@ -136,11 +136,12 @@ class Pieces:
         if not text:
             return []
         text = self.model.normalize(text)
-        if "▁▁" in text or "\n" in text:
+        if "▁▁" in text or _BARE in text or text[:1] != "▁":
             return _UNITS.findall(text)
-        first, *words = text.split("▁")
-        units = ["▁" + w for w in words]
-        return [first, *units] if first else units
+        if "\n" in text:
+            text = text.replace("\n", f"▁{_BARE}\n▁{_BARE}").replace(f"▁{_BARE}▁", "▁").removesuffix(f"▁{_BARE}")
+            return [w[1:] if w[:1] == _BARE else "▁" + w for w in text[1:].split("▁")]
+        return ["▁" + w for w in text[1:].split("▁")]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: byte pieces are joined as UTF-8, spaces restored, the added first space dropped."""
@@ -148,9 +149,10 @@ class Pieces:
 
     def decode_lists(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Texts of lists of ids, as ``decode`` gives them."""
-        size = self.size_of[ids]
-        made = self.blob[_ranges(self.place_of[ids], size)[1]]
-        upto = np.concatenate([[0], np.cumsum(size)])
+        spelled = self.bytes_of.take(pa.array(ids))
+        _, upto, made = spelled.buffers()
+        upto = np.frombuffer(upto, np.int32)[spelled.offset : spelled.offset + len(spelled) + 1].astype(np.int64) if len(spelled) else np.zeros(1, np.int64)
+        made = np.frombuffer(made, np.uint8)[: upto[-1]] if upto[-1] else np.zeros(0, np.uint8)
         begin, stop = upto[ends[:-1]], upto[ends[1:]]
         spaced = begin < stop
         spaced[spaced] = made[begin[spaced]] == 32
@@ -259,7 +261,7 @@ class Lattices:
         # logs of the sum (and of the largest weight) of all ways to the end, from the end on, all units side by side
         total, most = np.zeros(n + 1), np.zeros(n + 1)
         left = end - np.arange(n)
-        by_left = np.argsort(left, kind="stable")
+        by_left = np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")  # short numbers sort by radix
         for part in np.split(by_left, np.flatnonzero(np.diff(left[by_left])) + 1):
             counts = first[part + 1] - first[part]
             of, edge = _ranges(first[part], counts)
@@ -289,30 +291,33 @@ class Lattices:
         self.start.update(zip(units, (np.cumsum(lengths) - lengths + base).tolist()))
 
     def walk(self, nodes: np.ndarray, choose) -> tuple[np.ndarray, np.ndarray]:
-        """Paths from ``nodes`` to the ends of their units: (index of the start, edge), in order.
+        """Paths from ``nodes`` to the ends of their units: where each begins (and the last ends), and their edges.
 
-        ``choose(index, node, step)`` gives the next edges.
+        ``choose(index, node, step)`` gives the next edges; ``index`` is all of them at first.
         """
-        at, steps, lengths = np.arange(len(nodes)), [], np.zeros(len(nodes), np.int64)
+        at, steps, lengths = slice(None), [], np.ones(len(nodes), np.int64)
         while len(nodes):
             edge = choose(at, nodes, len(steps))
             steps.append((at, edge))
-            lengths[at] += 1
             nodes = self.to[edge]
-            more = nodes >= 0
-            at, nodes = at[more], nodes[more].astype(np.int64)
-        begin, path = np.cumsum(lengths) - lengths, np.empty(int(lengths.sum()), np.int64)
+            more = np.flatnonzero(nodes >= 0)
+            at, nodes = at[more] if len(steps) > 1 else more, nodes[more]
+            lengths[at] += 1
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        begin, path = ends[:-1], np.empty(int(ends[-1]), np.int64)
         for step, (at, edge) in enumerate(steps):
             path[begin[at] + step] = edge
-        return np.repeat(np.arange(len(lengths)), lengths), path
+        return ends, path
 
-    def drawn(self, nodes: np.ndarray, chance: np.ndarray) -> np.ndarray:
-        """The edge of each node at which the sum of probabilities passes ``chance``."""
-        edge = self.first[nodes]
-        on = np.flatnonzero(self.upto[edge] <= chance)
+    def drawn(self, edge: np.ndarray, upto: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        """Moves ``edge``, the first of its node with the sum ``upto``, on to that at which the sum of probabilities passes ``chance``."""
+        on = np.flatnonzero(upto <= chance)
+        now, chance = edge[on], chance[on]
         while len(on):
-            edge[on] += 1
-            on = on[self.upto[edge[on]] <= chance[on]]
+            now += 1
+            edge[on] = now
+            more = np.flatnonzero(self.upto[now] <= chance)
+            on, now, chance = on[more], now[more], chance[more]
         return edge
 
     def ids(self, paths: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -333,11 +338,20 @@ class Lattices:
 
 def _uniform(seeds: np.ndarray, stream: int, place: np.ndarray, step) -> np.ndarray:
     """Numbers in (0, 1) that depend on the seed and the place only."""
-    z = seeds + (np.uint64(stream << 56) + (place.astype(np.uint64) << np.uint64(20)) + np.asarray(step).astype(np.uint64) + np.uint64(1)) * _GOLDEN
-    z = (z ^ (z >> np.uint64(30))) * _MIX
-    z = (z ^ (z >> np.uint64(27))) * _STIR
+    return _stirred(seeds + (np.uint64(stream << 56) + (place.astype(np.uint64) << np.uint64(20)) + np.asarray(step).astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+
+
+def _stirred(z: np.ndarray) -> np.ndarray:
+    z = z ^ (z >> np.uint64(30))
+    z *= _MIX
+    z ^= z >> np.uint64(27)
+    z *= _STIR
     z ^= z >> np.uint64(31)
-    return ((z >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    z >>= np.uint64(11)
+    out = z.astype(np.float64)
+    out += 0.5
+    out *= 2.0**-53
+    return out
 
 
 class Agenda:
@@ -392,25 +406,40 @@ def sample_paths(lattices: Lattices, starts: np.ndarray, offsets: np.ndarray, k:
     rows = np.arange(texts)
     agenda.score[:, 0] = -np.log(-np.log(_uniform(seeds, 255, rows * 0, 0)))
     agenda.places[:, :, 0] = [offsets[:-1], node_at(offsets[:-1], rows), rows * 0 - 1, rows * 0, rows * 0 - 1]
+    # first edges of the units, and their noise but for turn and step, as ``_uniform`` has it
+    lead = first[starts]
+    reached = lattices.upto[lead]
+    text_of, local = _ranges(rows * 0, np.diff(offsets))
+    noisy = seeds[text_of] + ((local.astype(np.uint64) << np.uint64(20)) + np.uint64(1)) * _GOLDEN
     for turn in range(k):
         live, score, logp, (unit, node, parent, cut, leaving) = agenda.pop()
         if not len(live):
             break
         own = seeds[live]
         # the rest of each path: the rest of a unit, and whole units
-        of, units = _ranges(unit, np.where(node >= 0, offsets[live + 1] - unit, 0))
-        nodes = starts[units]
-        nodes[np.flatnonzero(np.diff(of, prepend=-1))] = node[node >= 0]
-        local = units - offsets[live[of]]
-
-        seed_of = own[of]
-        element, edges = lattices.walk(nodes, lambda at, node, step: lattices.drawn(node, _uniform(seed_of[at], turn, local[at], step)))
-        text = of[element]
-        ends = np.searchsorted(text, np.arange(len(live) + 1))
+        counts = np.where(node >= 0, offsets[live + 1] - unit, 0)
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        units = np.arange(begins[-1]) + np.repeat(unit - begins[:-1], counts)
+        at = begins[:-1][node >= 0]  # the first is entered inside
+        nodes, edge, upto = starts[units], lead[units], reached[units]
+        nodes[at] = node[node >= 0]
+        edge[at] = first[nodes[at]]
+        upto[at] = lattices.upto[edge[at]]
+        noise = noisy[units] + np.array([turn << 56], np.uint64) * _GOLDEN
+
+        def choose(at, node, step):
+            if not step:
+                return lattices.drawn(edge, upto, _stirred(noise))
+            now = first[node]
+            return lattices.drawn(now, lattices.upto[now], _stirred(noise[at] + np.array([step], np.uint64) * _GOLDEN))
+
+        unit_ends, edges = lattices.walk(nodes, choose)
+        ends = unit_ends[begins]
         q = logq[edges]
         before = np.empty(len(q))
         for a, b, sofar in zip(ends.tolist(), ends[1:].tolist(), logp.tolist()):  # one by one: rounding mustn't depend on other texts
-            before[a:b] = sofar + np.cumsum(q[a:b])
+            np.cumsum(q[a:b], out=before[a:b])
+            before[a:b] += sofar
         whole = np.where(ends[1:] > ends[:-1], before[ends[1:] - 1] if len(q) else logp, logp).tolist()
         before -= q
         kept = np.where(leaving >= 0, cut + 1, 0)
@@ -424,12 +453,12 @@ def sample_paths(lattices: Lattices, starts: np.ndarray, offsets: np.ndarray, k:
         bar = agenda.bar(need)[live]
         low = np.where(bar > -np.inf, bar - RESOLUTION, score - FIRST_DEPTH)
         while True:
-            at = np.flatnonzero(before > low[text])
+            at = np.flatnonzero(before > np.repeat(low, np.diff(ends)))
             m = lattices.node[edges[at]]
             which, side = _ranges(first[m], first[m + 1] - first[m])
             others = side != edges[at[which]]
             which, side = at[which[others]], side[others]
-            t = text[which]
+            t = np.searchsorted(ends, which, side="right") - 1
             phi = before[which] + logq[side]
             noise = _uniform(own[t], 128 + turn, which - ends[t], side - first[lattices.node[side]])
             given = phi - np.log(np.exp(phi - score[t]) - np.log(noise))
@@ -449,7 +478,7 @@ def sample_paths(lattices: Lattices, starts: np.ndarray, offsets: np.ndarray, k:
             low[again] = -np.inf
         which, side, t, phi = which[able], side[able], t[able], phi[able]
         inside = to[side] >= 0
-        at_unit = units[element[which]] + ~inside
+        at_unit = units[np.searchsorted(unit_ends, which, side="right") - 1] + ~inside
         places = [at_unit, np.where(inside, to[side], node_at(at_unit, live[t])), np.full(len(t), turn), kept[t] + which - ends[t], side]
         agenda.push(live[t], high, phi, np.array(places, np.int64).reshape(len(places), -1))
     return paths, agenda.score.max(axis=1, initial=-np.inf)
@@ -530,8 +559,8 @@ def best_texts(texts: list[str], lattices: Lattices) -> list[tuple[np.ndarray, f
         lattices.clear()
     units = [lattices.pieces.units(t) for t in texts]
     starts = lattices.add([u for own in units for u in own])
-    element, edges = lattices.walk(starts, lambda at, node, step: lattices.best[node])
-    cuts = np.searchsorted(element, np.cumsum([0, *map(len, units)]))
+    ends, edges = lattices.walk(starts, lambda at, node, step: lattices.best[node])
+    cuts = ends[np.cumsum([0, *map(len, units)])]
     return [(edges[a:b], math.fsum(lattices.logq[edges[a:b]])) for a, b in zip(cuts, cuts[1:])]
 
 

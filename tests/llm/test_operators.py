@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import zlib
 
 import numpy as np
@@ -720,3 +721,24 @@ def test_scores_do_not_depend_on_batches(docs):
     rest = common.id_bucket(F.col("doc_id"), 10)
     a, b = (sorted((str(r["doc_id"]), round(r["score"], 6)) for r in rows_of(interpolated.score(docs, rest != 0, rest == 1, *sizes))) for sizes in ((300, 200), (10**6, 10**6)))
     assert a == b
+
+
+def test_segmentation_decodes_without_a_number_for_each_byte():
+    import tracemalloc
+
+    pieces = segmentation.Pieces()
+    ids = np.array(pieces.model.encode("a quiet garden of letters\n" * 4000), np.int32)
+    ends = np.array([0, len(ids) // 2, len(ids)])
+    tracemalloc.start()
+    made = pieces.decode_lists(ids, ends).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made == [pieces.decode(ids[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+    assert peak < 8 * sum(map(len, made)) + 16 * len(ids)
+
+
+def test_segmentation_units_are_those_of_the_pattern():
+    pieces, rng = segmentation.Pieces(), random.Random(5)
+    for _ in range(2000):
+        text = "".join(rng.choice(" \n▁\x01ab日") for _ in range(rng.randint(1, 9)))
+        assert pieces.units(text) == segmentation._UNITS.findall(pieces.model.normalize(text))
