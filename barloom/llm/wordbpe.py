@@ -18,8 +18,8 @@ from itertools import islice
 from .common import single_threaded
 
 #: Chunks that the cache holds; when it is full, all but the first KEPT_CHUNKS go: frequent chunks come early.
-CACHE_CHUNKS = 100_000
-KEPT_CHUNKS = 40_000
+CACHE_CHUNKS = 150_000
+KEPT_CHUNKS = 60_000
 #: Longer chunks aren't kept.
 CACHED_CHARS = 64
 #: Characters of text whose chunks are looked up at once, unless one text has more.
@@ -34,8 +34,8 @@ PRE_TOKENIZER = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
-#: Chunks whose case folding and splitting are plain: Latin letters, then marks that don't start a contraction.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\s\w']*)")
+#: Chunks whose case folding and splitting are plain: Latin letters, then ASCII marks that don't start a contraction or an added token.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\\s\\w'<\x80-\U0010ffff]*)")
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 
@@ -62,16 +62,15 @@ class WordEncoder:
         # the byte-level alphabet: printable bytes stand for themselves, the rest follow from 256 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
-        self.letter = [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+        self.letter = {b: next(others) for b in range(256) if b not in printable}
+        self.model = self.tokenizer.model
 
     def _run(self, run: str) -> bytes:
-        """Ids of one run of letters or marks, already folded."""
-        got = self.runs.get(run)
-        if got is None:
-            word = run if run.isascii() else "".join(self.letter[b] for b in run.encode("utf-8", "surrogatepass"))
-            got = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-            if len(run) <= CACHED_CHARS:
-                self.runs[run] = got
+        """Ids of one run of letters or marks, already folded, that isn't in ``runs``."""
+        word = run if run.isascii() else run.encode().decode("latin-1").translate(self.letter)
+        got = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        if len(run) <= CACHED_CHARS:
+            self.runs[run] = got
         return got
 
     def _learn(self, chunks: set[str]) -> None:
@@ -82,12 +81,23 @@ class WordEncoder:
         if len(self.runs) > self.cache_chunks:
             self.runs = dict(islice(self.runs.items(), self.kept_chunks))
         special, self.long = [], [chunk for chunk in missing if len(chunk) > CACHED_CHARS]
+        known, find, run, match = self.known, self.runs.get, self._run, _PLAIN.fullmatch
         for chunk in missing:
-            plain = _PLAIN.fullmatch(chunk)
-            if plain and "<" not in chunk and plain[2].isascii():
-                self.known[chunk] = self._run(plain[1].lower()) + self._run(plain[2])
+            if chunk.isascii() and chunk.isalpha():
+                letters, marks = chunk.lower(), ""
+            elif plain := match(chunk):
+                letters, marks = plain.groups()
+                letters = letters.lower()
             else:
                 special.append(chunk)
+                continue
+            ids = find(letters)
+            if ids is None:
+                ids = run(letters)
+            if marks:
+                rest = find(marks)
+                ids += run(marks) if rest is None else rest
+            known[chunk] = ids  # without marks the one object of the run
         for at in range(0, len(special), 4096):
             part = special[at : at + 4096]
             for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):

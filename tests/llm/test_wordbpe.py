@@ -46,3 +46,13 @@ def test_long_chunks_are_not_kept(both):
     encoder = WordEncoder()
     list(encoder.ids_of(["x" * 5000 + " y", "z" * 100]))
     assert max(map(len, encoder.known)) <= 64 and max(map(len, encoder.runs)) <= 64
+
+
+def test_more_than_a_hundred_thousand_chunks_are_learned_once(monkeypatch):
+    encoder, asked = WordEncoder(), []
+    learn = encoder._run
+    monkeypatch.setattr(encoder, "_run", lambda run: encoder.runs.get(run) or asked.append(run) or learn(run))
+    texts = [" ".join("".join(chr(97 + (i // 26**j) % 26) for j in range(4)) for i in range(at, at + 1000)) for at in range(0, 120_000, 1000)]
+    first = list(encoder.ids_of(texts))
+    n = len(asked)
+    assert n >= 120_000 and list(encoder.ids_of(texts)) == first and len(asked) == n
