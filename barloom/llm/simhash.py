@@ -142,43 +142,80 @@ def _sizes(low_bits: int, half: int) -> np.ndarray:
     return np.array([sum(comb(low_bits, r) for r in range(half - flips + 1)) for flips in range(half + 1)])
 
 
+def _near_rows(key: np.ndarray, fp: np.ndarray, low_bits: int, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose fingerprints share a variant, as edges; such fingerprints differ in at most twice ``half`` bits."""
+    u, v = _collisions(*_variants(key, fp, low_bits, half))
+    if (np.bitwise_count(fp[u] ^ fp[v]) > 2 * half).any():
+        raise AssertionError("colliding variants of distant fingerprints")
+    return u, v
+
+
+def _to_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, smallest linked fingerprint, as signed numbers) of the edges (u, v)."""
+    nodes, roots = local_roots(u.view(np.int64), v.view(np.int64))
+    moved = nodes != roots
+    return nodes[moved].view(np.uint64), roots[moved].view(np.uint64)
+
+
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the groups of the rows ``a`` and ``b``; ``label`` has the smallest row of each row's group, before and after."""
+    while len(a):
+        la, lb = label[a], label[b]
+        differ = la != lb
+        if not differ.any():
+            return
+        a, b, la, lb = a[differ], b[differ], la[differ], lb[differ]
+        np.minimum.at(label, np.maximum(la, lb), np.minimum(la, lb))
+        while not np.array_equal(up := label[label], label):
+            label[:] = up
+
+
+def _unite_key(label: np.ndarray, own: np.ndarray, key: np.uint64, fp: np.ndarray, low_bits: int, half: int) -> None:
+    """Join the rows ``own`` of ``label`` whose fingerprints ``fp`` share a variant that begins with ``key``.
+
+    More variants than a block are done by the next four bits, one after another.
+    The many pairs of a block are forgotten once they are in ``label``.
+    """
+    keys = np.full(len(fp), key)
+    total = int(_sizes(low_bits, half)[np.bitwise_count((fp >> np.uint64(low_bits)) ^ keys)].sum())
+    if total <= BLOCK_VARIANTS or low_bits < 4:
+        u, v = _near_rows(keys, fp, low_bits, half)
+        return _unite(label, own[u], own[v])
+    del keys
+    shift = np.uint64(low_bits - 4)
+    for nibble in range(16):
+        longer = (key << np.uint64(4)) | np.uint64(nibble)
+        near = np.flatnonzero(np.bitwise_count((fp >> shift) ^ longer) <= half)
+        if len(near):
+            _unite_key(label, own[near], longer, fp[near], low_bits - 4, half)
+
+
 def _key_links(key: np.ndarray, fp: np.ndarray, low_bits: int, half: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between the fingerprints of whole keys.
+    """Edges between the fingerprints of whole keys: at most one a variant of a block, or fewer than rows.
 
     Rows with more variants than a block are done key by key, and then by the
     next four bits, so that memory is bounded, equal variants stay together, and
     each variant is made once.
     """
     total = int(_sizes(low_bits, half)[np.bitwise_count((fp >> np.uint64(low_bits)) ^ key)].sum()) if len(fp) else 0
-    if total <= BLOCK_VARIANTS or low_bits < 4:
-        u, v = _collisions(*_variants(key, fp, low_bits, half))
+    if total <= BLOCK_VARIANTS:
+        u, v = _near_rows(key, fp, low_bits, half)
         return fp[u], fp[v]
     edge = np.flatnonzero(np.diff(key)) + 1
     if len(edge):
         middle = int(edge[np.argmin(np.abs(edge - len(key) // 2))])
-        parts = [(key[x], fp[x], low_bits) for x in (slice(0, middle), slice(middle, None))]
-    else:
-        parts, shift = [], np.uint64(low_bits - 4)
-        for nibble in range(16):
-            longer = (key << np.uint64(4)) | np.uint64(nibble)
-            near = np.bitwise_count((fp >> shift) ^ longer) <= half
-            parts.append((longer[near], fp[near], low_bits - 4))
-    found = [_key_links(*part, half) for part in parts if len(part[0])]
-    return tuple(np.concatenate(x) for x in zip(*found))
+        found = [_to_roots(*_key_links(key[x], fp[x], low_bits, half)) for x in (slice(0, middle), slice(middle, None))]
+        return tuple(np.concatenate(x) for x in zip(*found))
+    label = np.arange(len(fp))
+    _unite_key(label, label.copy(), key[0], fp, low_bits, half)
+    moved = np.flatnonzero(label != np.arange(len(fp)))
+    return fp[moved], fp[label[moved]]
 
 
 def block_links(key: np.ndarray, fp: np.ndarray, low_bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, smallest linked fingerprint) within whole keys; keys are sorted."""
-    u, v = _key_links(key, fp, low_bits, radius // 2)
-    differ = u != v
-    u, v = u[differ].view(np.int64), v[differ].view(np.int64)
-    if not len(u):
-        return u, v
-    if (np.bitwise_count((u ^ v).view(np.uint64)) > radius).any():
-        raise AssertionError("colliding variants of distant fingerprints")
-    nodes, roots = local_roots(u, v)
-    moved = nodes != roots
-    return nodes[moved], roots[moved]
+    u, v = _to_roots(*_key_links(key, fp, low_bits, radius // 2))
+    return u.view(np.int64), v.view(np.int64)
 
 
 def _sent(fps: DataFrame, half: int) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -135,6 +136,27 @@ def test_ball_links_equal_brute_force(monkeypatch, block):
     assert len(found) == sum(n for n in groups.values() if n > 1)
 
 
+def test_many_near_fingerprints_of_one_key_are_linked_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_VARIANTS", 50_000)
+    rng = np.random.default_rng(3)
+    marks = np.uint64(1) << np.array([0, 3, 5, 9, 14, 20, 21, 27, 30, 33, 38, 41, 47], np.uint64)
+    near = np.bitwise_xor.reduce(np.where(rng.random((4000, len(marks))) < 0.3, marks, np.uint64(0)), axis=1)
+    far = np.array([0x555555555555, 0x555555555554], np.uint64)
+    fp = rng.permutation(np.unique(np.concatenate([near, far])) | np.uint64(0xBEEF << 48))
+    assert len(fp) > 1500
+    tracemalloc.start()
+    a, b = simhash.block_links(np.full(len(fp), 0xBEEF, np.uint64), fp, 48, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6  # pairs of near rows are about 1,177 a row, 16 bytes each
+    linked, least = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4, np.arange(len(fp))
+    while (lower := np.where(linked, least[None, :], len(fp)).min(axis=1)).tolist() != least.tolist():
+        least = lower
+    found, signed = dict(zip(a.tolist(), b.tolist())), fp.view(np.int64).tolist()
+    roots = [found.get(x, x) for x in signed]
+    assert 1 < len(set(least.tolist())) == len(set(roots)) == len(set(zip(least.tolist(), roots)))
+
+
 def test_connected_components_of_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["root"] for r in rows_of(components.connected_components(spark.createDataFrame(edges, "a long, b long")))}
